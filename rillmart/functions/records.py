@@ -9,6 +9,16 @@ from pyspark.sql import types as T
 from rillmart import schemas
 
 
+def with_parsed(df: DataFrame, name: str, parsed: Column) -> DataFrame:
+    """Add a parsed column that is computed once per row.
+
+    Spark moves a filter on a plain column below the projection that makes it,
+    and then parses the text in the filter and again above. It does not move
+    filters below an explode, so the value goes through one of a single element.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def to_wire(record: list[tuple[str, str, str]], source: dict[str, Column] | None = None) -> Column:
     """A record as JSON text under its wire names; null fields are left out."""
     pick = source or {name: F.col(name) for name, _, _ in record}

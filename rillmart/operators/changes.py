@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmart import schemas
 from rillmart.functions.labels import change_operation, dim_key, fact_topic
+from rillmart.functions.records import with_parsed
 from rillmart.sources import topics
 
 
 def table_lists(spark: SparkSession, facts: list[str], dims: list[str]) -> DataFrame:
-    """The fact and dimension lists as ``(table_name, kind)`` rows."""
-    rows = [(name, "fact") for name in facts] + [(name, "dim") for name in dims]
-    return spark.createDataFrame(rows, "table_name STRING, kind STRING")
+    """The fact and dimension lists as ``(table_name, kind)`` rows.
+
+    Made from Arrow so that Spark knows their size, and broadcasts them in joins.
+    """
+    names = pa.table({"table_name": [*facts, *dims], "kind": ["fact"] * len(facts) + ["dim"] * len(dims)})
+    return spark.createDataFrame(names)
 
 
 def parse_changes(records: DataFrame) -> DataFrame:
     """``value`` to ``table_name, change_type, data, op``; other columns stay."""
     options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    parsed = records.withColumn("change", F.from_json("value", schemas.CHANGE_RECORD, options))
+    parsed = with_parsed(records, "change", F.from_json("value", schemas.CHANGE_RECORD, options))
     return parsed.select(
         *records.columns,
         F.col("change.table").alias("table_name"),
@@ -35,8 +40,13 @@ def known_changes(changes: DataFrame) -> DataFrame:
     return changes.where(F.col("op").isNotNull())
 
 
+def listed_changes(changes: DataFrame, lists: DataFrame) -> DataFrame:
+    """Changes with the ``kind`` of each list that holds their table, from one scan; the rest is dropped."""
+    return changes.join(lists.dropDuplicates(["table_name", "kind"]), "table_name")
+
+
 def in_list(changes: DataFrame, lists: DataFrame, kind: str) -> DataFrame:
-    """Changes of the tables in one list. The lists are small, so Spark broadcasts them itself."""
+    """Changes of the tables in one list."""
     return changes.join(lists.where(F.col("kind") == kind).select("table_name"), "table_name", "left_semi")
 
 

@@ -21,6 +21,16 @@ def with_day_hour(df: DataFrame) -> DataFrame:
     return df.withColumn("dt", ms_date(F.col("ts"))).withColumn("hr", ms_hour(F.col("ts")))
 
 
+def first_times(page_log: DataFrame) -> DataFrame:
+    """Only ``(dt, hr, mid, ts)`` of the first rows: all that counting needs.
+
+    A minimum by key combines before the shuffle and needs no sort.
+    """
+    starts = session_starts(page_log).withColumn("dt", ms_date(F.col("ts")))
+    first = starts.groupBy("dt", "mid").agg(F.min("ts").alias("ts"))
+    return first.select("dt", ms_hour(F.col("ts")).alias("hr"), "mid", "ts")
+
+
 def first_of_day(page_log: DataFrame) -> DataFrame:
     """The earliest row of each ``(dt, mid)``; equal times are settled by the other columns."""
     rest = [c for c in page_log.columns if c not in ("dt", "mid", "ts")]

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmart import schemas
-from rillmart.functions.records import to_wire
+from rillmart.functions.records import to_wire, with_parsed
 from rillmart.sources import topics
 
 
 def parse_logs(records: DataFrame) -> DataFrame:
     """Add ``log``, the parsed ``value``."""
     options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    return records.withColumn("log", F.from_json("value", schemas.LOG_RECORD, options))
+    return with_parsed(records, "log", F.from_json("value", schemas.LOG_RECORD, options))
 
 
 def is_corrupt() -> Column:

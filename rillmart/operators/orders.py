@@ -13,13 +13,21 @@ from rillmart.operators.dims import join_province, join_user, keep_latest
 
 
 def enrich_headers(
-    info: DataFrame, users: DataFrame, provinces: DataFrame, as_of: str | dt.date | None = None
+    info: DataFrame,
+    users: DataFrame | None,
+    provinces: DataFrame | None,
+    as_of: str | dt.date | None = None,
 ) -> DataFrame:
-    """Headers with user, province, ``create_date`` and ``create_hour``."""
+    """Headers with ``create_date``, ``create_hour`` and the given dimensions.
+
+    A lookup that a query does not use is better left out (``None``): Spark
+    cannot know that ids are unique, so it would make the join anyway.
+    """
     dated = info.withColumn("create_date", create_date(F.col("create_time"))).withColumn(
         "create_hour", create_hour(F.col("create_time"))
     )
-    return join_province(join_user(dated, users, as_of), provinces)
+    with_user = dated if users is None else join_user(dated, users, as_of)
+    return with_user if provinces is None else join_province(with_user, provinces)
 
 
 def unique_by_id(rows: DataFrame) -> DataFrame:
@@ -42,14 +50,15 @@ def merge(headers: DataFrame, lines: DataFrame) -> DataFrame:
     same_order = (F.col("order_id") == F.col("_header_id")) & (
         F.xxhash64("order_id") == F.xxhash64("_header_id")
     )
-    return d.join(h, same_order).select(*schemas.ORDER_WIDE)
+    joined = d.join(h, same_order)
+    return joined.select(*[c for c in schemas.ORDER_WIDE if c in joined.columns])
 
 
 def order_wide(
     info: DataFrame,
     detail: DataFrame,
-    users: DataFrame,
-    provinces: DataFrame,
+    users: DataFrame | None,
+    provinces: DataFrame | None,
     as_of: str | dt.date | None = None,
     unique: bool = True,
 ) -> DataFrame:

@@ -52,10 +52,23 @@ def dau_index(shop: Shop) -> DataFrame:
     return dau.dau_wide(page_log_view(shop), shop.user_info(), shop.base_province(), AS_OF)
 
 
-def order_index(shop: Shop) -> DataFrame:
-    """The order index as serving reads it: each line is one document already."""
+def dau_times(shop: Shop) -> DataFrame:
+    """The columns of the daily index that counting needs."""
+    return dau.first_times(page_log_view(shop))
+
+
+def order_index(shop: Shop, user: bool = False, province: bool = False) -> DataFrame:
+    """The order index as serving reads it: each line is one document already.
+
+    Only the dimensions a query uses are looked up.
+    """
     return orders.order_wide(
-        shop.order_info(), shop.order_detail(), shop.user_info(), shop.base_province(), AS_OF, unique=False
+        shop.order_info(),
+        shop.order_detail(),
+        shop.user_info() if user else None,
+        shop.base_province() if province else None,
+        AS_OF,
+        unique=False,
     )
 
 
@@ -188,9 +201,8 @@ def src_table_lists(shop: Shop) -> DataFrame:
     """Lists saved to and read from a store, and the changes each of them lets through."""
     folder = run_folder(shop.spark, "src_table_lists")
     jobs.save_table_lists(lists(shop), folder)
-    listed = changes.known_changes(parsed_changes(shop)).join(
-        jobs.load_table_lists(shop.spark, folder), "table_name"
-    )
+    known = changes.known_changes(parsed_changes(shop))
+    listed = changes.listed_changes(known, jobs.load_table_lists(shop.spark, folder))
     return listed.groupBy("kind", "table_name").agg(F.count("*").alias("n"))
 
 
@@ -271,15 +283,7 @@ def copy_by_name(shop: Shop) -> DataFrame:
 @query
 def merge_order_wide(shop: Shop) -> DataFrame:
     """Header and line merged without any lookup; the line's time wins."""
-    info = shop.order_info()
-    for name, kind in [
-        ("create_hour", "string"), ("province_name", "string"), ("province_area_code", "string"),
-        ("province_3166_2_code", "string"), ("province_iso_code", "string"), ("user_age", "int"),
-        ("user_gender", "string"),
-    ]:
-        info = info.withColumn(name, F.lit(None).cast(kind))
-    info = info.withColumn("create_date", time.create_date(F.col("create_time")))
-    merged = orders.merge(info, shop.order_detail())
+    merged = orders.merge(orders.enrich_headers(shop.order_info(), None, None), shop.order_detail())
     return merged.select(
         "detail_id", "order_id", "sku_id", "sku_name", "user_id", "create_time", "create_date", "split_total_amount"
     )
@@ -287,7 +291,7 @@ def merge_order_wide(shop: Shop) -> DataFrame:
 
 @query
 def stat_fields(shop: Shop) -> DataFrame:
-    return serving.detail_fields(order_index(shop))
+    return serving.detail_fields(order_index(shop, user=True, province=True))
 
 
 # ---- filters ----------------------------------------------------------------------------
@@ -317,10 +321,7 @@ def drop_unknown_op(shop: Shop) -> DataFrame:
 
 @query
 def table_in_set(shop: Shop) -> DataFrame:
-    rows = parsed_changes(shop)
-    fact = changes.in_list(rows, lists(shop), "fact").select(F.lit("fact").alias("kind"), "table_name", "version")
-    dim = changes.in_list(rows, lists(shop), "dim").select(F.lit("dim").alias("kind"), "table_name", "version")
-    return fact.union(dim)
+    return changes.listed_changes(parsed_changes(shop), lists(shop)).select("kind", "table_name", "version")
 
 
 @query
@@ -386,7 +387,7 @@ def _run_to_files(shop: Shop, name: str, stream: DataFrame, by: str | None = Non
 def order_buffered_join(shop: Shop) -> DataFrame:
     info, detail = order_streams(shop)
     joined = jobs.buffered_join(info, detail).select("detail_id", "order_id", "sku_id", "user_id", "create_time")
-    return _run_to_files(shop, "order_buffered_join", joined)
+    return dims.keep_latest(_run_to_files(shop, "order_buffered_join", joined), ["detail_id"], ["create_time"])
 
 
 @query
@@ -398,7 +399,7 @@ def state_ttl_24h(shop: Shop) -> DataFrame:
     )
     detail = detail.withColumn("create_time", F.when(F.col("id") % 7 == 0, late).otherwise(F.col("create_time")))
     joined = jobs.buffered_join(info, detail).select("detail_id", "order_id", "create_time")
-    return _run_to_files(shop, "state_ttl_24h", joined)
+    return dims.keep_latest(_run_to_files(shop, "state_ttl_24h", joined), ["detail_id"], ["create_time"])
 
 
 @query
@@ -412,7 +413,10 @@ def order_wide(shop: Shop) -> DataFrame:
 def order_wide_stream(shop: Shop) -> DataFrame:
     info, detail = order_streams(shop)
     wide = jobs.order_wide_stream(info, detail, shop.user_info(), shop.base_province(), AS_OF)
-    return _run_to_files(shop, "order_wide_stream", wide, by="create_date").select(*schemas.ORDER_WIDE)
+    folder = run_folder(shop.spark, "order_wide_stream")
+    table = sinks.DailyTable(shop.spark, f"{folder}/wide", wide.schema, "detail_id", "create_date")
+    run.run_to_end(shop.spark, table.stream(wide), f"{folder}/checkpoint")
+    return table.read().select(*schemas.ORDER_WIDE)
 
 
 @query
@@ -425,22 +429,22 @@ def orphan_orders(shop: Shop) -> DataFrame:
 
 @query
 def dau_total(shop: Shop) -> DataFrame:
-    return serving.dau_total(dau_index(shop))
+    return serving.dau_total(dau_times(shop))
 
 
 @query
 def dau_by_hour(shop: Shop) -> DataFrame:
-    return serving.dau_by_hour(dau_index(shop))
+    return serving.dau_by_hour(dau_times(shop))
 
 
 @query
 def dau_by_hour_filled(shop: Shop) -> DataFrame:
-    return serving.dau_by_hour_filled(dau_index(shop))
+    return serving.dau_by_hour_filled(dau_times(shop))
 
 
 @query
 def amount_by_field(shop: Shop) -> DataFrame:
-    rows = serving.amount_by_field(order_index(shop), ITEM, "user_age")
+    rows = serving.amount_by_field(order_index(shop, user=True), ITEM, "user_age")
     return rows.select("create_date", "key", "n", money("amount"))
 
 
@@ -451,7 +455,7 @@ def top_terms(shop: Shop) -> DataFrame:
 
 @query
 def age_bucket_amount(shop: Shop) -> DataFrame:
-    amounts = serving.amount_by_field(order_index(shop), "widget", "user_age")
+    amounts = serving.amount_by_field(order_index(shop, user=True), "widget", "user_age")
     return serving.age_buckets(amounts).select("create_date", "name", money("value"))
 
 
@@ -588,29 +592,29 @@ def trigger_5s(shop: Shop) -> DataFrame:
 
 @query
 def dau_realtime(shop: Shop) -> DataFrame:
-    return serving.dau_realtime(dau_index(shop))
+    return serving.dau_realtime(dau_times(shop))
 
 
 @query
 def dau_realtime_day(shop: Shop) -> DataFrame:
-    return serving.dau_realtime(dau_index(shop), DAY)
+    return serving.dau_realtime(dau_times(shop), DAY)
 
 
 @query
 def stats_by_item(shop: Shop) -> DataFrame:
-    rows = serving.stats_by_item(order_index(shop), ITEM, "gender")
+    rows = serving.stats_by_item(order_index(shop, user=True), ITEM, "gender")
     return rows.select("create_date", "name", money("value"))
 
 
 @query
 def stats_by_item_age(shop: Shop) -> DataFrame:
-    rows = serving.stats_by_item(order_index(shop), ITEM, "age")
+    rows = serving.stats_by_item(order_index(shop, user=True), ITEM, "age")
     return rows.select("create_date", "name", money("value"))
 
 
 @query
 def detail_by_item(shop: Shop) -> DataFrame:
-    page = serving.detail_by_item(order_index(shop), DAY, ITEM)
+    page = serving.detail_by_item(order_index(shop, user=True, province=True), DAY, ITEM)
     return page.detail.withColumn("total", page.total.select("total").scalar())
 
 
