@@ -136,32 +136,47 @@ def app_starts(parsed: DataFrame) -> DataFrame:
 def route_logs(parsed: DataFrame) -> DataFrame:
     """Every output of every record, as ``(topic, key, value)``, from one scan.
 
-    A record becomes an array of outputs that is then exploded. The key is the
-    device id; the plain topic sink does not use it.
+    A record becomes the list of its outputs by kind, which is exploded; each
+    row then writes its own JSON. The key is the device id; the plain topic
+    sink does not use it.
     """
+    page = F.when(has_page(), 1).otherwise(0)
+    displays = F.when(has_page(), F.size("log.displays"))
+    actions = F.when(has_page(), F.size("log.actions"))
+    start = F.when(has_start(), 1).otherwise(0)
 
-    def output(topic: str, value: Column) -> Column:
-        return F.struct(F.lit(topic).alias("topic"), F.col("log.common.mid").alias("key"), value.alias("value"))
+    def repeat(kind: str, times: Column) -> Column:
+        return F.array_repeat(F.lit(kind), F.coalesce(times, F.lit(0)))
 
-    outer = common_columns() | page_columns() | start_columns() | _ts()
-    none = F.array().cast("array<struct<topic:string,key:string,value:string>>")
-
-    def each(items: str, topic: str, record: list, fields) -> Column:
-        rows = F.transform(items, lambda item: output(topic, to_wire(record, outer | fields(item))))
-        return F.coalesce(rows, none)
-
-    page = F.array(output(topics.PAGE_LOG, to_wire(schemas.PAGE_LOG, outer)))
-    displays = each("log.displays", topics.PAGE_DISPLAY, schemas.DISPLAY_LOG, display_columns)
-    actions = each("log.actions", topics.PAGE_ACTION, schemas.ACTION_LOG, action_columns)
-    start = F.array(output(topics.START_LOG, to_wire(schemas.START_LOG, outer)))
-    outputs = (
-        F.when(is_corrupt(), F.array(output(topics.CORRUPT, F.col("value"))))
-        .when(is_error(), F.array(output(topics.ERROR_LOG, F.col("value"))))
+    kinds = (
+        F.when(is_corrupt(), F.array(F.lit("corrupt")))
+        .when(is_error(), F.array(F.lit("error")))
         .otherwise(
             F.concat(
-                F.when(has_page(), F.concat(page, displays, actions)).otherwise(none),
-                F.when(has_start(), start).otherwise(none),
+                repeat("page", page), repeat("display", displays), repeat("action", actions), repeat("start", start)
             )
         )
     )
-    return parsed.select(F.explode(outputs).alias("output")).select("output.*")
+    rows = parsed.select("value", "log", F.posexplode(kinds).alias("pos", "kind"))
+
+    # A record's page comes first, then its displays, then its actions.
+    display = F.get("log.displays", F.col("pos") - 1)
+    action = F.get("log.actions", F.col("pos") - 1 - F.coalesce(F.size("log.displays"), F.lit(0)))
+    outer = common_columns() | page_columns() | start_columns() | _ts()
+    kind = F.col("kind")
+    topic = (
+        F.when(kind == "page", topics.PAGE_LOG)
+        .when(kind == "display", topics.PAGE_DISPLAY)
+        .when(kind == "action", topics.PAGE_ACTION)
+        .when(kind == "start", topics.START_LOG)
+        .when(kind == "error", topics.ERROR_LOG)
+        .otherwise(topics.CORRUPT)
+    )
+    value = (
+        F.when(kind == "page", to_wire(schemas.PAGE_LOG, outer))
+        .when(kind == "display", to_wire(schemas.DISPLAY_LOG, outer | display_columns(display)))
+        .when(kind == "action", to_wire(schemas.ACTION_LOG, outer | action_columns(action)))
+        .when(kind == "start", to_wire(schemas.START_LOG, outer))
+        .otherwise(F.col("value"))
+    )
+    return rows.select(topic.alias("topic"), F.col("log.common.mid").alias("key"), value.alias("value"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rillmart import schemas
 from rillmart.functions import labels, records, text, time
 from rillmart.operators import changes, dau, dims, logs, orders, serving
-from rillmart.session import run_folder
+from rillmart.session import apply_settings, run_folder
 from rillmart.sources import shop_views as views
 from rillmart.sources import topics
 from rillmart.sources.shop_views import Shop
@@ -30,8 +30,7 @@ REGISTRY: dict[str, Query] = {}
 
 def query(fn: Callable[[Shop], DataFrame]) -> Callable[[Shop], DataFrame]:
     def call(spark: SparkSession, folder: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return fn(Shop(spark, folder))
+        return fn(Shop(apply_settings(spark), folder))
 
     REGISTRY[fn.__name__] = call
     return fn

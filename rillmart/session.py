@@ -8,16 +8,33 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Runtime settings every run of this library wants. The JVM never compiles a
+# method over 8000 bytes of bytecode; above that size Spark had better split
+# the generated code (wide JSON rows reach it) than keep one method per stage.
+SETTINGS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+_LOCAL_FOLDERS: dict[str, str] = {}  # by application, for local sessions without a shared folder
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def local_session(cores: int | str = 8, app: str = "rillmart") -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
-    return (
+    return apply_settings(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
     )
@@ -32,9 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="rillmart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _LOCAL_FOLDERS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="rillmart-"))
     raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
 
 
