@@ -296,11 +296,11 @@ _AMOUNTS = f"""{_WIDE}, counted AS (
   SELECT create_date, key, n, amount FROM ranked WHERE rn <= 100)"""
 
 _BUCKETS = """
-  SELECT create_date, '20岁以下' AS name, round(sum(CASE WHEN key < 20 THEN amount ELSE 0 END), 2) AS value
+  SELECT create_date, '20岁以下' AS name, round(sum(CASE WHEN key < 20 THEN amount ELSE 0 END), 4) AS value
     FROM amounts GROUP BY create_date
-  UNION ALL SELECT create_date, '20到29岁', round(sum(CASE WHEN key BETWEEN 20 AND 29 THEN amount ELSE 0 END), 2)
+  UNION ALL SELECT create_date, '20到29岁', round(sum(CASE WHEN key BETWEEN 20 AND 29 THEN amount ELSE 0 END), 4)
     FROM amounts GROUP BY create_date
-  UNION ALL SELECT create_date, '30岁以上', round(sum(CASE WHEN key >= 30 THEN amount ELSE 0 END), 2)
+  UNION ALL SELECT create_date, '30岁以上', round(sum(CASE WHEN key >= 30 THEN amount ELSE 0 END), 4)
     FROM amounts GROUP BY create_date"""
 
 _GENDER = "CASE gender WHEN 'F' THEN '女' WHEN 'M' THEN '男' ELSE gender END"
@@ -407,7 +407,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT dt FROM hourly), range(24) AS hours(h))
           SELECT spine.dt, spine.hr, coalesce(cnt, 0) AS cnt FROM spine
           LEFT JOIN hourly ON spine.dt = hourly.dt AND spine.hr = hourly.hr""",
-        "amount_by_field": f"WITH {_AMOUNTS} SELECT create_date, key, n, round(amount, 2) AS amount FROM amounts",
+        "amount_by_field": f"WITH {_AMOUNTS} SELECT create_date, key, n, round(amount, 4) AS amount FROM amounts",
         "top_terms": f"""WITH {_WIDE} SELECT sku_id AS key, count(*) AS n FROM wide GROUP BY sku_id
           ORDER BY n DESC, key LIMIT 100""",
         "age_bucket_amount": f"WITH {_AMOUNTS.replace(_HIT, _terms('sku_name', 'widget'))} {_BUCKETS}",
@@ -436,7 +436,7 @@ def oracle_sql() -> dict[str, str]:
           WHERE td = '{DAY}'""",
         "stats_by_item": f"""WITH {_WIDE} SELECT create_date,
           CASE user_gender WHEN 'F' THEN '女' WHEN 'M' THEN '男' ELSE user_gender END AS name,
-          round(sum(split_total_amount), 2) AS value FROM wide WHERE {_HIT} GROUP BY ALL""",
+          round(sum(split_total_amount), 4) AS value FROM wide WHERE {_HIT} GROUP BY ALL""",
         "stats_by_item_age": f"WITH {_AMOUNTS} {_BUCKETS}",
         "detail_by_item": f"""WITH {_WIDE}, found AS (
             SELECT * FROM wide WHERE create_date = '{DAY}' AND {_HIT})
@@ -456,4 +456,60 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT upper(table_name), count(DISTINCT id) FROM changes
             WHERE op IS NOT NULL AND {_IS_DIM} GROUP BY 1""",
     }
+    sql |= _reports()
     return sql
+
+
+_VIEWS = f"{_PAGES}, views AS (SELECT *, {_DAY_HOUR} FROM page_log)"
+_VISITS = f"""{_VIEWS}, visits AS (SELECT is_new, channel, mid, dt, count(*) AS pages,
+  coalesce(sum(during_time), 0) AS millis FROM views GROUP BY ALL)"""
+
+
+def _reports() -> dict[str, str]:
+    total = """SELECT count(*) AS pv_count, count(DISTINCT mid) AS uv_count,
+      count(DISTINCT CASE WHEN is_new = '1' THEN mid END) AS new_count FROM views"""
+    steps = [("home", "view"), ("detail", "click"), ("cart", "signup"), ("order", "error"), ("pay", "purchase")]
+    funnel = " UNION ALL ".join(
+        f"SELECT '{step}' AS step, count(DISTINCT user_id) AS users FROM views WHERE page_id = '{page}'"
+        for step, page in steps
+    )
+    amount = "round(sum(split_total_amount), 4)"
+    sold = "detail JOIN part ON sku_id = p_partkey"
+    return {
+        "pv_by_day": f"WITH {_VIEWS} SELECT dt, count(*) AS pv FROM views GROUP BY dt",
+        "uv_by_day": f"WITH {_VIEWS} SELECT dt, count(DISTINCT mid) AS uv FROM views GROUP BY dt",
+        "visit_total": f"WITH {_VIEWS} {total}",
+        "visit_total_week": f"WITH {_VIEWS} {total} WHERE dt BETWEEN '2024-01-09' AND '{DAY}'",
+        "new_vs_old": f"""WITH {_VISITS} SELECT is_new, CAST(sum(pages) AS BIGINT) AS pv, count(DISTINCT mid) AS uv,
+          round(avg(CASE WHEN pages = 1 THEN 1.0 ELSE 0.0 END), 6) AS bounce_rate,
+          round(CAST(sum(millis) AS DOUBLE) / 1000 / count(*), 6) AS mean_seconds,
+          round(CAST(sum(pages) AS DOUBLE) / count(*), 6) AS mean_pages FROM visits GROUP BY is_new""",
+        "channel_pv": f"WITH {_VIEWS} SELECT channel, count(*) AS pv FROM views GROUP BY channel",
+        "channel_bounce": f"""WITH {_VISITS} SELECT channel,
+          round(avg(CASE WHEN pages = 1 THEN 1.0 ELSE 0.0 END), 6) AS bounce_rate FROM visits GROUP BY channel""",
+        "page_path": f"""WITH {_VIEWS} SELECT last_page_id AS source, page_id AS target, count(*) AS value FROM views
+          WHERE last_page_id IS NOT NULL GROUP BY ALL""",
+        "page_path_nodes": f"""WITH {_VIEWS} SELECT page_id AS name FROM views WHERE last_page_id IS NOT NULL
+          UNION SELECT last_page_id FROM views WHERE last_page_id IS NOT NULL""",
+        "action_funnel": f"WITH {_VIEWS} {funnel}",
+        "user_total": f"""WITH {_VIEWS}, {_INFO}, {_USERS}, flags AS (
+          SELECT id, EXISTS (SELECT 1 FROM info WHERE info.user_id = users.id) AS ordered,
+            EXISTS (SELECT 1 FROM views WHERE is_new = '1' AND views.user_id = CAST(users.id AS VARCHAR)) AS fresh
+          FROM users)
+          SELECT count(*) AS user_total, count(*) FILTER (ordered) AS order_user_total,
+            count(*) FILTER (fresh) AS new_user_count, count(*) FILTER (fresh AND ordered) AS new_order_user_count
+          FROM flags""",
+        "paid_share": f"""WITH {_INFO}, {_USERS} SELECT
+            CASE WHEN id IN (SELECT user_id FROM info) THEN 'paid' ELSE 'unpaid' END AS name, count(*) AS value
+          FROM users GROUP BY 1""",
+        "order_total": f"""WITH {_INFO} SELECT count(*) AS order_count, round(sum(total_amount), 2) AS order_amount,
+          count(DISTINCT user_id) AS order_user FROM info""",
+        "spu_top": f"""WITH {_DETAIL} SELECT sku_name AS name, {amount} AS value FROM detail GROUP BY 1
+          ORDER BY sum(split_total_amount) DESC, 1 LIMIT 7""",
+        "brand_top": f"""WITH {_DETAIL} SELECT p_brand AS name, {amount} AS value FROM {sold} GROUP BY 1
+          ORDER BY sum(split_total_amount) DESC, 1 LIMIT 7""",
+        "category_share": f"WITH {_DETAIL} SELECT p_type AS name, round(sum(split_total_amount), 0) AS value FROM {sold} GROUP BY 1",
+        "area_orders": f"""WITH {_INFO}, {_DETAIL}, {_PROVINCES} SELECT p.name, count(DISTINCT order_id) AS orders,
+          {amount} AS amount
+          FROM detail d JOIN info i ON d.order_id = i.id LEFT JOIN provinces p ON p.id = i.province_id GROUP BY 1""",
+    }

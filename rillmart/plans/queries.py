@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rillmart import schemas
 from rillmart.functions import labels, records, text, time
-from rillmart.operators import changes, dau, dims, logs, orders, serving
+from rillmart.operators import changes, dau, dims, logs, orders, reports, serving
 from rillmart.session import apply_settings, run_folder
 from rillmart.sources import shop_views as views
 from rillmart.sources import topics
@@ -79,7 +79,8 @@ def parsed_changes(shop: Shop) -> DataFrame:
     return changes.parse_changes(shop.change_topic())
 
 
-def money(column: str, digits: int = 2):
+def money(column: str, digits: int = 4):
+    """Round for comparison. Line amounts have four decimals, so at four no sum lies half way between two steps."""
     return F.round(column, digits).alias(column)
 
 
@@ -650,3 +651,107 @@ def route_cdc_stream(shop: Shop) -> DataFrame:
     topics_written = sinks.read_topic_files(shop.spark, facts).groupBy(F.col("topic").alias("name"))
     dims_written = store.read().groupBy(F.upper("table_name").alias("name"))
     return topics_written.agg(F.count("*").alias("n")).union(dims_written.agg(F.count("*").alias("n")))
+
+
+# ---- dashboard reports -----------------------------------------------------------------------------------
+
+# The test pages that stand for the dashboard's five steps.
+FUNNEL = {"home": "view", "detail": "click", "cart": "signup", "order": "error", "pay": "purchase"}
+
+
+def dated_views(shop: Shop) -> DataFrame:
+    return reports.dated(page_log_view(shop))
+
+
+def sold_lines(shop: Shop) -> DataFrame:
+    """Order lines with the product's brand and category."""
+    part = shop.table("part").select("p_partkey", "p_brand", "p_type")
+    lines = shop.order_detail()
+    return lines.join(part, F.col("sku_id") == F.col("p_partkey"), "left")
+
+
+@query
+def pv_by_day(shop: Shop) -> DataFrame:
+    return reports.pv_by_day(dated_views(shop))
+
+
+@query
+def uv_by_day(shop: Shop) -> DataFrame:
+    return reports.uv_by_day(dated_views(shop))
+
+
+@query
+def visit_total(shop: Shop) -> DataFrame:
+    return reports.visit_total(dated_views(shop))
+
+
+@query
+def visit_total_week(shop: Shop) -> DataFrame:
+    return reports.visit_total(reports.last_days(dated_views(shop), DAY))
+
+
+@query
+def new_vs_old(shop: Shop) -> DataFrame:
+    return reports.new_vs_old(dated_views(shop)).select(
+        "is_new", "pv", "uv", money("bounce_rate", 6), money("mean_seconds", 6), money("mean_pages", 6)
+    )
+
+
+@query
+def channel_pv(shop: Shop) -> DataFrame:
+    return reports.channel_pv(dated_views(shop))
+
+
+@query
+def channel_bounce(shop: Shop) -> DataFrame:
+    return reports.channel_bounce(dated_views(shop)).select("channel", money("bounce_rate", 6))
+
+
+@query
+def page_path(shop: Shop) -> DataFrame:
+    return reports.page_path(dated_views(shop))
+
+
+@query
+def page_path_nodes(shop: Shop) -> DataFrame:
+    return reports.page_path_nodes(dated_views(shop))
+
+
+@query
+def action_funnel(shop: Shop) -> DataFrame:
+    return reports.action_funnel(dated_views(shop), FUNNEL)
+
+
+@query
+def user_total(shop: Shop) -> DataFrame:
+    return reports.user_total(shop.user_info(), dated_views(shop), shop.order_info())
+
+
+@query
+def paid_share(shop: Shop) -> DataFrame:
+    return reports.paid_share(shop.user_info(), shop.order_info())
+
+
+@query
+def order_total(shop: Shop) -> DataFrame:
+    return reports.order_total(shop.order_info()).select("order_count", money("order_amount", 2), "order_user")
+
+
+@query
+def spu_top(shop: Shop) -> DataFrame:
+    return reports.top_by(shop.order_detail(), "sku_name").select("name", money("value"))
+
+
+@query
+def brand_top(shop: Shop) -> DataFrame:
+    return reports.top_by(sold_lines(shop), "p_brand").select("name", money("value"))
+
+
+@query
+def category_share(shop: Shop) -> DataFrame:
+    return reports.amount_by(sold_lines(shop), "p_type").select("name", money("value", 0))
+
+
+@query
+def area_orders(shop: Shop) -> DataFrame:
+    return reports.area_orders(order_index(shop, province=True)).select("name", "orders", money("amount"))
