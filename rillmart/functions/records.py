@@ -25,15 +25,15 @@ def to_wire(record: list[tuple[str, str, str]], source: dict[str, Column] | None
     return F.to_json(F.struct(*[pick[name].alias(wire) for name, wire, _ in record]))
 
 
-def from_wire(df: DataFrame, record: list[tuple[str, str, str]]) -> DataFrame:
-    """JSON text in ``value`` back to the record's columns."""
-    parsed = df.select(F.from_json("value", schemas.wire_schema(record)).alias("r"))
-    return parsed.select(*[F.col(f"r.`{wire}`").alias(name) for name, wire, _ in record])
+def from_wire(df: DataFrame, record: list[tuple[str, str, str]], *keep: str) -> DataFrame:
+    """JSON text in ``value`` back to the record's columns; columns in ``keep`` stay beside them."""
+    parsed = with_parsed(df.select("value", *keep), "r", F.from_json("value", schemas.wire_schema(record)))
+    return parsed.select(*[F.col(f"r.`{wire}`").alias(name) for name, wire, _ in record], *keep)
 
 
-def from_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """JSON text in ``value`` to the columns of ``schema``."""
-    return df.select(F.from_json("value", schema).alias("r")).select("r.*")
+def from_rows(df: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
+    """JSON text in ``value`` to the columns of ``schema``; columns in ``keep`` stay beside them."""
+    return with_parsed(df.select("value", *keep), "r", F.from_json("value", schema)).select("r.*", *keep)
 
 
 def to_json_row(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -109,9 +109,11 @@ def flatten_common(parsed: DataFrame) -> DataFrame:
     return normal_records(parsed).select(*[column.alias(name) for name, column in source.items()])
 
 
-def page_views(parsed: DataFrame) -> DataFrame:
+def page_views(parsed: DataFrame, *keep: str) -> DataFrame:
+    """One row per page view; columns in ``keep`` (such as ``offset``) stay beside it."""
     source = common_columns() | page_columns() | _ts()
-    return _select(normal_records(parsed).where(has_page()), schemas.PAGE_LOG, source)
+    rows = normal_records(parsed).where(has_page())
+    return rows.select(*[source[name].alias(name) for name in schemas.columns(schemas.PAGE_LOG)], *keep)
 
 
 def page_displays(parsed: DataFrame) -> DataFrame:

@@ -56,14 +56,14 @@ def dau_times(shop: Shop) -> DataFrame:
     return dau.first_times(page_log_view(shop))
 
 
-def order_index(shop: Shop, user: bool = False, province: bool = False) -> DataFrame:
+def order_index(shop: Shop, user: bool = False, province: bool = False, names: bool = True) -> DataFrame:
     """The order index as serving reads it: each line is one document already.
 
     Only the dimensions a query uses are looked up.
     """
     return orders.order_wide(
         shop.order_info(),
-        shop.order_detail(),
+        shop.order_detail() if names else shop.order_lines(),
         shop.user_info() if user else None,
         shop.base_province() if province else None,
         AS_OF,
@@ -365,13 +365,14 @@ def dim_join_province(shop: Shop) -> DataFrame:
 
 @query
 def order_full_outer(shop: Shop) -> DataFrame:
-    joined = orders.full_outer(shop.order_info(), shop.order_detail())
+    joined = orders.full_outer(shop.order_info(), shop.order_lines())
     return joined.select("info_id", "info_user_id", "detail_id", "detail_order_id", "detail_sku_id")
 
 
-def order_streams(shop: Shop) -> tuple[DataFrame, DataFrame]:
+def order_streams(shop: Shop, names: bool = False) -> tuple[DataFrame, DataFrame]:
     stream = lambda name: stream_table(shop.spark, shop.folder, name)
-    return views.order_info(stream("orders")), views.order_detail(stream("lineitem"), shop.table("part"))
+    part = shop.table("part") if names else None
+    return views.order_info(stream("orders")), views.order_detail(stream("lineitem"), part)
 
 
 def _run_to_files(shop: Shop, name: str, stream: DataFrame, by: str | None = None) -> DataFrame:
@@ -411,7 +412,7 @@ def order_wide(shop: Shop) -> DataFrame:
 
 @query
 def order_wide_stream(shop: Shop) -> DataFrame:
-    info, detail = order_streams(shop)
+    info, detail = order_streams(shop, names=True)
     wide = jobs.order_wide_stream(info, detail, shop.user_info(), shop.base_province(), AS_OF)
     folder = run_folder(shop.spark, "order_wide_stream")
     table = sinks.DailyTable(shop.spark, f"{folder}/wide", wide.schema, "detail_id", "create_date")
@@ -421,7 +422,7 @@ def order_wide_stream(shop: Shop) -> DataFrame:
 
 @query
 def orphan_orders(shop: Shop) -> DataFrame:
-    return orders.orphans(shop.order_info(), shop.order_detail())
+    return orders.orphans(shop.order_info(), shop.order_lines())
 
 
 # ---- aggregations -------------------------------------------------------------------------
@@ -450,7 +451,7 @@ def amount_by_field(shop: Shop) -> DataFrame:
 
 @query
 def top_terms(shop: Shop) -> DataFrame:
-    return serving.top_terms(order_index(shop), "sku_id")
+    return serving.top_terms(order_index(shop, names=False), "sku_id")
 
 
 @query
@@ -476,7 +477,7 @@ def dau_dedup(shop: Shop) -> DataFrame:
 @query
 def dau_dedup_stream(shop: Shop) -> DataFrame:
     """Which row of a device and day arrives first is up to the stream, so only the keys are returned."""
-    page_views = logs.page_views(logs.parse_logs(log_stream(shop)))
+    page_views = logs.page_views(logs.parse_logs(log_stream(shop)), "partition", "offset")
     first = jobs.first_of_day_stream(page_views).select("dt", "mid")
     return _run_to_files(shop, "dau_dedup_stream", first, by="dt").select("dt", "mid")
 
@@ -503,7 +504,7 @@ def dim_latest(shop: Shop) -> DataFrame:
 
 @query
 def paginate(shop: Shop) -> DataFrame:
-    rows = order_index(shop).select("detail_id", "create_time", "order_id")
+    rows = order_index(shop, names=False).select("detail_id", "create_time", "order_id")
     return serving.paginate(rows, serving.newest_first(), page_no=3, page_size=serving.PAGE_SIZE)
 
 
@@ -626,7 +627,7 @@ def dau_wide(shop: Shop) -> DataFrame:
 @query
 def dau_wide_stream(shop: Shop) -> DataFrame:
     """The streaming job, log topic to daily index; only columns that every row of a device shares."""
-    page_views = logs.page_views(logs.parse_logs(log_stream(shop)))
+    page_views = logs.page_views(logs.parse_logs(log_stream(shop)), "partition", "offset")
     stream = jobs.dau_stream(page_views, shop.user_info(), shop.base_province(), AS_OF)
     stored = _run_to_files(shop, "dau_wide_stream", stream, by="dt")
     return stored.select("dt", "mid", "user_id", "user_gender", "user_age", "province_name", "province_3166_2")
@@ -666,8 +667,7 @@ def dated_views(shop: Shop) -> DataFrame:
 def sold_lines(shop: Shop) -> DataFrame:
     """Order lines with the product's brand and category."""
     part = shop.table("part").select("p_partkey", "p_brand", "p_type")
-    lines = shop.order_detail()
-    return lines.join(part, F.col("sku_id") == F.col("p_partkey"), "left")
+    return shop.order_lines().join(part, F.col("sku_id") == F.col("p_partkey"), "left")
 
 
 @query
@@ -754,4 +754,4 @@ def category_share(shop: Shop) -> DataFrame:
 
 @query
 def area_orders(shop: Shop) -> DataFrame:
-    return reports.area_orders(order_index(shop, province=True)).select("name", "orders", money("amount"))
+    return reports.area_orders(order_index(shop, province=True, names=False)).select("name", "orders", money("amount"))

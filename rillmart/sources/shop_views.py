@@ -295,6 +295,10 @@ class Shop:
     def order_detail(self) -> DataFrame:
         return order_detail(self.table("lineitem"), self.table("part"))
 
+    def order_lines(self) -> DataFrame:
+        """Order lines without product names, hence without a join."""
+        return order_detail(self.table("lineitem"))
+
     def user_info(self) -> DataFrame:
         return user_info(self.table("customer"))
 
