@@ -9,7 +9,7 @@ from test_dau import ms
 
 from rillmart import schemas
 from rillmart.functions.records import from_rows, from_wire
-from rillmart.operators import changes, dau
+from rillmart.operators import changes, dau, dims, serving
 from rillmart.session import run_folder
 from rillmart.sources import topics
 from rillmart.streaming import jobs, run, sinks
@@ -204,3 +204,66 @@ def test_settings_are_put_back(spark):
     with run.state_settings(spark, 3):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_offsets_are_committed_only_after_the_output(spark):
+    """A batch whose output fails is not committed, and comes again after a restart."""
+    feed, folder = Feed(spark, "t_commit"), run_folder(spark, "t_commit")
+    feed.add(page("a", "2024-01-01 10:00:00"))
+    out, broken = f"{folder}/out", [True]
+
+    def write(batch, batch_id):
+        if broken[0]:
+            raise RuntimeError("the sink is down")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    def commits():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/c/commits/0")
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    with pytest.raises(Exception, match="the sink is down"):
+        run.run_to_end(spark, feed.stream().writeStream.foreachBatch(write), f"{folder}/c")
+    assert not commits()
+    broken[0] = False
+    run.run_to_end(spark, feed.stream().writeStream.foreachBatch(write), f"{folder}/c")
+    run.run_to_end(spark, feed.stream().writeStream.foreachBatch(write), f"{folder}/c")
+    assert commits() and spark.read.parquet(out).count() == 1
+
+
+def test_change_topic_to_dashboard(spark):
+    """Change records -> fact topics and dimensions -> order wide stream -> daily table -> statistics."""
+    feed, folder = Feed(spark, "t_all"), run_folder(spark, "t_all")
+    store = sinks.DimensionStore(spark, f"{folder}/dims")
+    jobs.save_table_lists(
+        changes.table_lists(spark, ["order_info", "order_detail"], ["user_info", "base_province"]), f"{folder}/lists"
+    )
+    change = lambda table, data: {"type": "insert", "table": table, "data": data}
+    feed.add(
+        change("user_info", {"id": 1, "gender": "M", "birthday": "2000-01-01"}),
+        change("base_province", {"id": 1, "name": "North", "iso_code": "CN-1", "iso_3166_2": "CN-N", "area_code": "9"}),
+        change("order_detail", line(11, 1, "2024-01-01 10:00:01")),
+    )
+    feed.add(
+        change("order_info", info(1, "2024-01-01 10:00:00")),
+        change("order_detail", line(12, 1, "2024-01-01 10:00:01")),
+        change("order_detail", line(12, 1, "2024-01-01 10:00:01")),
+    )
+    run.run_to_end(
+        spark, jobs.change_router(feed.stream(), f"{folder}/lists", f"{folder}/facts", store), f"{folder}/c1"
+    )
+    latest = store.read()
+    stream = lambda topic, schema: from_rows(
+        sinks.stream_topic_files(spark, f"{folder}/facts", topic), schema
+    )
+    wide = jobs.order_wide_stream(
+        stream(topics.ORDER_INFO, schemas.ORDER_INFO), stream(topics.ORDER_DETAIL, schemas.ORDER_DETAIL),
+        dims.users(latest), dims.provinces(latest), "2024-06-30",
+    )
+    table = sinks.DailyTable(spark, f"{folder}/wide", wide.schema, "detail_id", "create_date")
+    run.run_to_end(spark, table.stream(wide), f"{folder}/c2", 4)
+    index = table.compact(f"{folder}/index")
+    rows = serving.stats_by_item(index, "ring", "gender", "2024-01-01").collect()
+    assert [(r.name, r.value) for r in rows] == [("男", 2.0)]
+    found = serving.detail_by_item(index, "2024-01-01", "ring")
+    assert found.total.collect()[0].total == 2
+    assert {r.province_name for r in found.detail.collect()} == {"North"}
