@@ -78,12 +78,14 @@ def dim_records(changes: DataFrame, lists: DataFrame, version: str = "version")
 
 
 def route_changes(changes: DataFrame, lists: DataFrame, version: str = "version") -> DataFrame:
-    """Both outputs from one scan, as ``(target, topic, key, version, op, value)``.
+    """All outputs from one scan: ``(target, topic, table_name, id, key, version, op, value)``.
 
     ``target`` is ``fact`` or ``dim``; a table in both lists gives two rows.
-    Corrupt records go to ``corrupt`` untouched.
+    Corrupt records go to ``corrupt`` untouched, with a topic of their own.
+    ``id`` and ``key`` are those of a dimension row.
     """
     fact = F.col("kind") == "fact"
+    dim = ~F.col("corrupt") & (F.col("kind") == "dim")
     identity = row_id(F.col("data"))
     listed = changes.join(lists.dropDuplicates(["table_name", "kind"]), "table_name", "left")
     keep = F.col("corrupt") | (F.col("op").isNotNull() & F.col("kind").isNotNull())
@@ -92,7 +94,9 @@ def route_changes(changes: DataFrame, lists: DataFrame, version: str = "version"
         F.when(F.col("corrupt"), topics.CORRUPT)
         .when(fact, fact_topic(F.col("table_name"), F.col("op")))
         .alias("topic"),
-        F.when(~F.col("corrupt") & ~fact, dim_key(F.col("table_name"), identity)).alias("key"),
+        "table_name",
+        F.when(dim, identity).alias("id"),
+        F.when(dim, dim_key(F.col("table_name"), identity)).alias("key"),
         F.col(version).alias("version"),
         "op",
         F.when(F.col("corrupt"), F.col("value")).otherwise(F.col("data")).alias("value"),

@@ -132,6 +132,7 @@ def test_change_router_reloads_lists_and_replays(spark):
     facts = sinks.read_topic_files(spark, f"{folder}/facts")
     assert sorted((r.topic, r.value) for r in facts.collect()) == [
         ("DWD_ORDER_INFO_D", '{"id":1}'), ("DWD_ORDER_INFO_I", '{"id":1}'), ("DWD_SKU_INFO_I", '{"id":6}'),
+        (topics.CORRUPT, "broken"),
     ]
     assert [(r.id, r.op, json.loads(r.data)["gender"]) for r in store.read().collect()] == [("1", "U", "M")]
     # A batch that is written again replaces itself.
