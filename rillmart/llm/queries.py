@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmart.llm import exact_dedup, line_dedup, url_filters
+from rillmart.llm import exact_dedup, language_id, line_dedup, toxicity, url_filters
 from rillmart.llm.common import UPPER, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+def _fold(parts: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    # a null id has no remainder and is not learned from
+    model = language_id.learn(docs.where(_fold(3) != 1), public_tokenizers.path("piece_bpe_32k.model"))
+    judged = docs.select("doc_id", language_id.language(model, F.col("text")).alias("is"))
+    return judged.select(
+        "doc_id",
+        F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"),
+        F.col("is.lang").alias("lang_pred"),
+        F.col("is.score").alias("score"),
+    )
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs.where(_fold(5) != 0), table(spark, folder, "labels").where(_fold(5) != 0))
+    scored = docs.select("doc_id", toxicity.toxicity(model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id",
+        F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )

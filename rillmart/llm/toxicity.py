@@ -22,19 +22,19 @@ from pyspark.sql import functions as F
 from rillmart.llm.common import written
 
 WORD = re.compile(r"[^\W\d_]+")
-BITS = 18
+BITS = 20
 TRAIN_ROWS = 24_000  # bound of the labelled rows learned from
-SHARDS, ROUNDS = 6, 2
+SHARDS, ROUNDS = 4, 3
 KEPT_WORDS, BLOCK_WORDS = 400_000, 400_000
 PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @dataclass
 class Rates:
-    alpha: float = 0.1
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
+    l1: float = 2.0
+    l2: float = 0.1
 
 
 class Features:
