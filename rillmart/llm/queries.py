@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmart.llm import exact_dedup, language_id, line_dedup, toxicity, url_filters
+from rillmart.llm import exact_dedup, language_id, line_dedup, multi_index, packing, token_files, toxicity, url_filters
 from rillmart.llm.common import UPPER, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,23 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    size = packing.token_count(public_tokenizers.path("word_bpe_49k.json"), F.col("text"))
+    return packing.pack_documents(table(spark, folder, "documents").select("doc_id", size.alias("n_tokens")))
+
+
+@query
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    to = token_files.token_files_folder(spark)
+    docs = table(spark, folder, "documents")
+    manifest = token_files.write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), 2, to)
+    return token_files.read_token_files(spark, to, manifest)
+
+
+@query
+def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = multi_index.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
