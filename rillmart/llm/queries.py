@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmart.llm import exact_dedup, language_id, line_dedup, multi_index, packing, token_files, toxicity, url_filters
+from rillmart.llm import exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters
 from rillmart.llm.common import UPPER, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,8 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     found = multi_index.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_forest.near_duplicates(table(spark, folder, "documents"))
