@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmart.llm import exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters
+from rillmart.llm import byte_bpe, exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters
 from rillmart.llm.common import UPPER, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,17 @@ def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_forest.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    file, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs, pairs = byte_bpe.encoded(docs, file, pattern)
+    spaces = F.char_length("token_ids") - F.char_length(F.replace("token_ids", F.lit(" "), F.lit("")))
+    return docs.select(
+        "doc_id",
+        F.when(F.col("token_ids") == "", 0).otherwise(spaces + 1).cast("long").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2(pairs.decode(F.col("token_ids")), 256).alias("decoded_sha256"),
+    )
