@@ -26,6 +26,7 @@ BITS = 20
 TRAIN_ROWS = 24_000  # bound of the labelled rows learned from
 SHARDS, ROUNDS = 4, 3
 KEPT_WORDS, BLOCK_WORDS = 400_000, 400_000
+BLOCK = 1 << 14  # coordinates of a state that travel together
 PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -107,6 +108,20 @@ class Model:
         return out
 
 
+def _mean_of(before: np.ndarray):
+    """Merges the shards' states of one block; coordinates count where a shard changed them."""
+
+    def mean(frame: pd.DataFrame) -> pd.DataFrame:
+        block = int(frame["at"].iloc[0])
+        zs, ns = (np.stack([np.frombuffer(x, dtype=np.float32) for x in frame[c]]) for c in ("z", "n"))
+        touched = ns != before[block : block + BLOCK]
+        many = np.maximum(1, touched.sum(axis=0))
+        z, n = ((np.where(touched, x, 0).sum(axis=0) / many).astype(np.float32) for x in (zs, ns))
+        return pd.DataFrame({"at": [block], "any": [touched.any(axis=0).tobytes()], "z": [z.tobytes()], "n": [n.tobytes()]})
+
+    return mean
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     train_rows: int = TRAIN_ROWS, shards: int = SHARDS, rounds: int = ROUNDS, bits: int = BITS, rates: Rates | None = None,
@@ -115,7 +130,7 @@ def learn(
 
     Null ids and null labels are left out; the label of an id with several is the largest. Of more than ``train_rows``
     labelled ids, a share chosen by a hash of the id is used, of about that many. With no labelled row all weights are 0.
-    The driver gets the touched coordinates, at most 2^bits, each round.
+    The driver gets the mean state, of 2^bits coordinates, after each round.
     """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
     marks = marks.groupBy("id").agg(F.max("label").alias("label"))
@@ -129,7 +144,7 @@ def learn(
     size = (1 << bits) + 1
 
     rows = written(rows, "toxicity_rows")
-    z, n = np.zeros(size), np.zeros(size)
+    z, n = np.zeros(size, dtype=np.float32), np.zeros(size, dtype=np.float32)
     for _ in range(rounds):
 
         def go(frames, z=z, n=n):
@@ -137,20 +152,24 @@ def learn(
             for frame in frames:
                 for shard, label, text in zip(frame["shard"], frame["label"], frame["text"], strict=True):
                     if shard not in states:
-                        states[shard] = Ftrl(rates, z.copy(), n.copy())
+                        states[shard] = Ftrl(rates, z.astype(np.float64), n.astype(np.float64))
                     states[shard].update(features.distinct(text), label)
             for state in states.values():
-                touched = np.nonzero(state.n != n)[0]
-                for i in range(0, len(touched), 100_000):
-                    at = touched[i : i + 100_000]
-                    yield pd.DataFrame({"at": at, "z": state.z[at], "n": state.n[at]})
-
-        ordered = rows.repartition(shards, "shard").sortWithinPartitions("shard", "turn")
-        means = ordered.mapInPandas(go, "at BIGINT, z DOUBLE, n DOUBLE").groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
-        new = means.toPandas().sort_values("at")
+                new_z, new_n = state.z.astype(np.float32), state.n.astype(np.float32)
+                for block in range(0, size, BLOCK):
+                    cut = slice(block, block + BLOCK)
+                    if (new_n[cut] != n[cut]).any():
+                        yield pd.DataFrame({"at": [block], "z": [new_z[cut].tobytes()], "n": [new_n[cut].tobytes()]})
+
+        ordered = rows.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "turn")
+        states = ordered.mapInPandas(go, "at INT, z BINARY, n BINARY").groupBy("at")
+        states = states.applyInPandas(_mean_of(n), "at INT, any BINARY, z BINARY, n BINARY")
         z, n = z.copy(), n.copy()
-        z[new["at"]], n[new["at"]] = new["z"], new["n"]
-    w = Ftrl(rates, z, n).weights(slice(None))
+        for r in states.collect():
+            touched = np.frombuffer(r["any"], dtype=bool)
+            for state, new in ((z, r["z"]), (n, r["n"])):
+                state[r["at"] : r["at"] + BLOCK][touched] = np.frombuffer(new, dtype=np.float32)[touched]
+    w = Ftrl(rates, z.astype(np.float64), n.astype(np.float64)).weights(slice(None))
     at = np.nonzero(w[:-1])[0]
     return Model(bits, at, w[at], float(w[-1]))
 
