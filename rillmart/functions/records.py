@@ -19,6 +19,11 @@ def with_parsed(df: DataFrame, name: str, parsed: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(parsed)).alias(name))
 
 
+def long_of(text: Column) -> Column:
+    """A number read as text, without its fraction; null where it is none."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+
 def to_wire(record: list[tuple[str, str, str]], source: dict[str, Column] | None = None) -> Column:
     """A record as JSON text under its wire names; null fields are left out."""
     pick = source or {name: F.col(name) for name, _, _ in record}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmart import schemas
-from rillmart.functions.records import to_wire, with_parsed
+from rillmart.functions.records import long_of, to_wire, with_parsed
 from rillmart.sources import topics
 
 
@@ -17,8 +17,12 @@ def parse_logs(records: DataFrame) -> DataFrame:
 
 
 def is_corrupt() -> Column:
-    """The value is no JSON object, or a field of it cannot be read."""
-    return F.col("log").isNull() | F.col(f"log.{schemas.CORRUPT}").isNotNull()
+    """The value is no JSON object: nothing of it can be read."""
+    read = [F.col(f"log.{c}").isNull() for c in schemas.LOG_RECORD.fieldNames() if c != schemas.CORRUPT]
+    unread = F.col(f"log.{schemas.CORRUPT}").isNotNull()
+    for field in read:
+        unread = unread & field
+    return F.col("log").isNull() | unread
 
 
 def is_error() -> Column:
@@ -33,13 +37,9 @@ def has_start() -> Column:
     return F.col("log.start").isNotNull()
 
 
-def corrupt_records(parsed: DataFrame) -> DataFrame:
-    return parsed.where(is_corrupt())
-
-
 def error_records(parsed: DataFrame) -> DataFrame:
     """Records with ``err``: they go to the error topic whole and nowhere else."""
-    return parsed.where(~is_corrupt() & is_error())
+    return parsed.where(is_error())
 
 
 def normal_records(parsed: DataFrame) -> DataFrame:
@@ -70,12 +70,14 @@ def page_columns() -> dict[str, Column]:
         "during_time": "during_time",
         "source_type": "source_type",
     }
-    return {name: F.col(f"log.page.{field}") for name, field in fields.items()}
+    source = {name: F.col(f"log.page.{field}") for name, field in fields.items()}
+    return source | {"during_time": long_of(source["during_time"])}
 
 
 def start_columns() -> dict[str, Column]:
-    names = ("entry", "open_ad_id", "loading_time_ms", "open_ad_ms", "open_ad_skip_ms")
-    return {name: F.col(f"log.start.{name}") for name in names}
+    texts, numbers = ("entry", "open_ad_id"), ("loading_time_ms", "open_ad_ms", "open_ad_skip_ms")
+    source = {name: F.col(f"log.start.{name}") for name in texts}
+    return source | {name: long_of(F.col(f"log.start.{name}")) for name in numbers}
 
 
 def display_columns(display: Column) -> dict[str, Column]:
@@ -97,7 +99,7 @@ def action_columns(action: Column) -> dict[str, Column]:
 
 
 def _ts() -> dict[str, Column]:
-    return {"ts": F.col("log.ts")}
+    return {"ts": long_of(F.col("log.ts"))}
 
 
 def _select(df: DataFrame, record: list[tuple[str, str, str]], source: dict[str, Column]) -> DataFrame:
@@ -151,8 +153,8 @@ def route_logs(parsed: DataFrame) -> DataFrame:
         return F.array_repeat(F.lit(kind), F.coalesce(times, F.lit(0)))
 
     kinds = (
-        F.when(is_corrupt(), F.array(F.lit("corrupt")))
-        .when(is_error(), F.array(F.lit("error")))
+        F.when(is_error(), F.array(F.lit("error")))
+        .when(is_corrupt(), F.array(F.lit("corrupt")))
         .otherwise(
             F.concat(
                 repeat("page", page), repeat("display", displays), repeat("action", actions), repeat("start", start)

@@ -1,8 +1,9 @@
 """Dashboard reports over page views and order lines.
 
 The dashboard asks for these by name and number of days; what each measure
-means is settled here. A visit is one device on one day, and it bounces when
-it has a single page view. Every report first sums by its finest key, so a hot
+means is settled here. A visit starts with a page view that has no page before
+it and lasts until the device's next such view; it bounces when it has a single
+page view, and takes its attributes from its first. Every other report first sums by its finest key, so a hot
 device or order shrinks to one row per task before any shuffle.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillmart.functions.time import ms_date
@@ -20,8 +21,9 @@ TOP = 7  # fixed value: default length of a top list
 
 
 def last_days(df: DataFrame, until: str, days: int = DAYS, column: str = "dt") -> DataFrame:
-    """Rows of the ``days`` days that end with ``until``; fewer than one day means the default."""
-    days = DAYS if days < 1 else days
+    """Rows of the ``days`` days that end with ``until``."""
+    if days < 1:
+        raise ValueError("days must be at least 1")
     first = dt.date.fromisoformat(until) - dt.timedelta(days=days - 1)
     return df.where(F.col(column).between(str(first), until))
 
@@ -51,10 +53,30 @@ def visit_total(views: DataFrame) -> DataFrame:
     )
 
 
+def sessions(views: DataFrame) -> DataFrame:
+    """Views with ``session``, the number of visits the device has started so far.
+
+    The running count is made within each day of a device and then raised by
+    the counts of its earlier days, so that a long history is many short
+    windows; views before a device's first start are session 0.
+    """
+    rest = [c for c in views.columns if c not in ("mid", "dt", "ts")]
+    day = Window.partitionBy("mid", "dt").orderBy("ts", *rest).rowsBetween(Window.unboundedPreceding, 0)
+    counted = views.withColumn("_today", F.count_if(F.col("last_page_id").isNull()).over(day))
+    days = views.groupBy("mid", "dt").agg(F.count_if(F.col("last_page_id").isNull()).alias("_starts"))
+    earlier = Window.partitionBy("mid").orderBy("dt").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("mid", "dt", F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_before"))
+    same = F.col("mid").eqNullSafe(F.col("_mid")) & F.col("dt").eqNullSafe(F.col("_dt"))
+    both = counted.join(days.withColumnsRenamed({"mid": "_mid", "dt": "_dt"}), same)
+    return both.withColumn("session", F.col("_today") + F.col("_before")).select(*views.columns, "session")
+
+
 def visits(views: DataFrame, *by: str) -> DataFrame:
-    """One row per visit: page count and time spent."""
-    return views.groupBy(*by, "mid", "dt").agg(
-        F.count("*").alias("pages"), F.coalesce(F.sum("during_time"), F.lit(0)).alias("millis")
+    """One row per visit: page count, time spent, and the ``by`` columns of its first view."""
+    return sessions(views).groupBy("mid", "session").agg(
+        *[F.min_by(c, F.struct("ts", c)).alias(c) for c in by],
+        F.count("*").alias("pages"),
+        F.coalesce(F.sum("during_time"), F.lit(0)).alias("millis"),
     )
 
 
@@ -102,10 +124,13 @@ def page_path_nodes(views: DataFrame) -> DataFrame:
     return ends.distinct()
 
 
-def action_funnel(views: DataFrame, steps: dict[str, str]) -> DataFrame:
-    """``(step, users)``: users who reached each step; ``steps`` maps a step name to its page."""
-    reached = views.groupBy("user_id").agg(
-        *[F.max((F.col("page_id") == page).cast("int")).alias(f"_{i}") for i, page in enumerate(steps.values())]
+def action_funnel(views: DataFrame, actions: DataFrame, steps: dict[str, tuple[str, str]]) -> DataFrame:
+    """``(step, users)``: users who reached each step, a ``("page", id)`` seen or an ``("action", id)`` done."""
+    seen = views.select("user_id", F.lit("page").alias("kind"), F.col("page_id").alias("id"))
+    done = actions.select("user_id", F.lit("action").alias("kind"), F.col("action_id").alias("id"))
+    tests = [(F.col("kind") == kind) & (F.col("id") == name) for kind, name in steps.values()]
+    reached = seen.union(done).groupBy("user_id").agg(
+        *[F.max(F.coalesce(test, F.lit(False)).cast("int")).alias(f"_{i}") for i, test in enumerate(tests)]
     )
     counts = reached.agg(*[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(steps))])
     pairs = [F.struct(F.lit(step).alias("step"), F.col(f"_{i}").alias("users")) for i, step in enumerate(steps)]
@@ -162,7 +187,9 @@ def amount_by(lines: DataFrame, field: str) -> DataFrame:
 
 def top_by(lines: DataFrame, field: str, num: int = TOP) -> DataFrame:
     """The ``num`` names with the highest amounts."""
-    return amount_by(lines, field).orderBy(F.desc("value"), "name").limit(TOP if num < 1 else num)
+    if num < 1:
+        raise ValueError("num must be at least 1")
+    return amount_by(lines, field).orderBy(F.desc("value"), "name").limit(num)
 
 
 def area_orders(wide: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmart import schemas
@@ -18,7 +18,7 @@ from rillmart.functions.labels import AGE_LABELS, gender_label, stat_field
 from rillmart.functions.text import highlight, match_all_terms
 from rillmart.functions.time import next_day
 
-MAX_TERMS = 100  # fixed value: most groups of a terms query
+MAX_TERMS = 100  # fixed value: default length of a list of terms
 PAGE_SIZE = 20  # fixed value: default page size
 
 
@@ -111,15 +111,13 @@ def top_terms(df: DataFrame, field: str, k: int = MAX_TERMS) -> DataFrame:
 
 
 def amount_by_field(wide: DataFrame, item_name: str, field: str, day: str | None = None) -> DataFrame:
-    """``(create_date, key, n, amount)``: sum of ``split_total_amount`` by ``field``, at most 100 groups a day."""
-    groups = (
+    """``(create_date, key, n, amount)``: sum of ``split_total_amount`` by each value of ``field``."""
+    return (
         hits(wide, item_name, day)
         .where(F.col(field).isNotNull())
         .groupBy("create_date", F.col(field).alias("key"))
         .agg(F.count("*").alias("n"), F.sum("split_total_amount").alias("amount"))
     )
-    window = Window.partitionBy("create_date").orderBy(F.desc("n"), "key")
-    return groups.withColumn("_rank", F.row_number().over(window)).where(f"_rank <= {MAX_TERMS}").drop("_rank")
 
 
 def age_buckets(amounts: DataFrame) -> DataFrame:

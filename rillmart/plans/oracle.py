@@ -236,7 +236,10 @@ _INFO_JSON = _json([
 ])
 _DETAIL_JSON = _json([
     ("id", "id", False), ("order_id", "order_id", False), ("sku_id", "sku_id", False),
-    ("sku_num", "sku_num", False), ("create_time", "create_time", True),
+    ("order_price", "round(order_price, 8)", False), ("sku_num", "sku_num", False),
+    ("sku_name", "sku_name", True), ("create_time", "create_time", True),
+    ("split_total_amount", "round(split_total_amount, 8)", False),
+    ("split_activity_amount", "split_activity_amount", False), ("split_coupon_amount", "split_coupon_amount", False),
 ])
 _USER_JSON = _json([("id", "id", False), ("gender", "gender", True), ("birthday", "birthday", True)])
 _PROVINCE_JSON = _json([
@@ -289,11 +292,9 @@ def _terms(name: str, *terms: str) -> str:
 
 _HIT = _terms("sku_name", "red", "widget")
 
-_AMOUNTS = f"""{_WIDE}, counted AS (
+_AMOUNTS = f"""{_WIDE}, amounts AS (
   SELECT create_date, user_age AS key, count(*) AS n, sum(split_total_amount) AS amount FROM wide
-  WHERE {_HIT} AND user_age IS NOT NULL GROUP BY ALL), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY create_date ORDER BY n DESC, key) AS rn FROM counted), amounts AS (
-  SELECT create_date, key, n, amount FROM ranked WHERE rn <= 100)"""
+  WHERE {_HIT} AND user_age IS NOT NULL GROUP BY ALL)"""
 
 _BUCKETS = """
   SELECT create_date, '20岁以下' AS name, round(sum(CASE WHEN key < 20 THEN amount ELSE 0 END), 4) AS value
@@ -461,18 +462,20 @@ def oracle_sql() -> dict[str, str]:
 
 
 _VIEWS = f"{_PAGES}, views AS (SELECT *, {_DAY_HOUR} FROM page_log)"
-_VISITS = f"""{_VIEWS}, visits AS (SELECT is_new, channel, mid, dt, count(*) AS pages,
-  coalesce(sum(during_time), 0) AS millis FROM views GROUP BY ALL)"""
+_VISITS = f"""{_VIEWS}, numbered AS (SELECT *, sum(CASE WHEN last_page_id IS NULL THEN 1 ELSE 0 END)
+    OVER (PARTITION BY mid ORDER BY ts, e ROWS UNBOUNDED PRECEDING) AS session FROM views),
+  visits AS (SELECT mid, session, arg_min(is_new, ts) AS is_new, arg_min(channel, ts) AS channel, count(*) AS pages,
+  coalesce(sum(during_time), 0) AS millis FROM numbered GROUP BY mid, session)"""
 
 
 def _reports() -> dict[str, str]:
     total = """SELECT count(*) AS pv_count, count(DISTINCT mid) AS uv_count,
       count(DISTINCT CASE WHEN is_new = '1' THEN mid END) AS new_count FROM views"""
-    steps = [("home", "view"), ("detail", "click"), ("cart", "signup"), ("order", "error"), ("pay", "purchase")]
+    steps = [("home", "view"), ("detail", "click"), ("order", "signup"), ("pay", "purchase")]
     funnel = " UNION ALL ".join(
-        f"SELECT '{step}' AS step, count(DISTINCT user_id) AS users FROM views WHERE page_id = '{page}'"
+        f"SELECT '{step}' AS step, count(DISTINCT user_id) AS users FROM page_log WHERE page_id = '{page}'"
         for step, page in steps
-    )
+    ) + " UNION ALL SELECT 'cart', count(DISTINCT user_id) FROM actions WHERE action_id = 'cart_add'"
     amount = "round(sum(split_total_amount), 4)"
     sold = "detail JOIN part ON sku_id = p_partkey"
     return {
@@ -491,7 +494,7 @@ def _reports() -> dict[str, str]:
           WHERE last_page_id IS NOT NULL GROUP BY ALL""",
         "page_path_nodes": f"""WITH {_VIEWS} SELECT page_id AS name FROM views WHERE last_page_id IS NOT NULL
           UNION SELECT last_page_id FROM views WHERE last_page_id IS NOT NULL""",
-        "action_funnel": f"WITH {_VIEWS} {funnel}",
+        "action_funnel": f"WITH {_PAGES}, {_ACTIONS} {funnel}",
         "user_total": f"""WITH {_VIEWS}, {_INFO}, {_USERS}, flags AS (
           SELECT id, EXISTS (SELECT 1 FROM info WHERE info.user_id = users.id) AS ordered,
             EXISTS (SELECT 1 FROM views WHERE is_new = '1' AND views.user_id = CAST(users.id AS VARCHAR)) AS fresh
@@ -508,7 +511,7 @@ def _reports() -> dict[str, str]:
           ORDER BY sum(split_total_amount) DESC, 1 LIMIT 7""",
         "brand_top": f"""WITH {_DETAIL} SELECT p_brand AS name, {amount} AS value FROM {sold} GROUP BY 1
           ORDER BY sum(split_total_amount) DESC, 1 LIMIT 7""",
-        "category_share": f"WITH {_DETAIL} SELECT p_type AS name, round(sum(split_total_amount), 0) AS value FROM {sold} GROUP BY 1",
+        "category_share": f"WITH {_DETAIL} SELECT p_type AS name, round(sum(split_total_amount), 2) AS value FROM {sold} GROUP BY 1",
         "area_orders": f"""WITH {_INFO}, {_DETAIL}, {_PROVINCES} SELECT p.name, count(DISTINCT order_id) AS orders,
           {amount} AS amount
           FROM detail d JOIN info i ON d.order_id = i.id LEFT JOIN provinces p ON p.id = i.province_id GROUP BY 1""",

@@ -33,18 +33,17 @@ CORRUPT = "_corrupt_record"
 
 _COMMON = struct(**strings("ar", "uid", "os", "ch", "is_new", "md", "mid", "vc", "ba"))
 _PAGE = struct(
-    **strings("page_id", "item", "item_type"), during_time="bigint", **strings("last_page_id", "source_type")
+    **strings("page_id", "item", "item_type", "during_time", "last_page_id", "source_type")
 )
 _DISPLAY = struct(**strings("display_type", "item", "item_type", "order", "pos_id"))
 _ACTION = struct(**strings("action_id", "item", "item_type"))
-_START = struct(
-    entry="string", loading_time_ms="bigint", open_ad_id="string", open_ad_ms="bigint", open_ad_skip_ms="bigint"
-)
+_START = struct(**strings("entry", "loading_time_ms", "open_ad_id", "open_ad_ms", "open_ad_skip_ms"))
 
-# ``err`` is any JSON value; read as STRING it keeps its JSON text.
+# ``err`` is any JSON value; read as STRING it keeps its JSON text. Numbers are read as text too, as producers may quote
+# them, and become numbers where they are used.
 LOG_RECORD = struct(
     err="string",
-    ts="bigint",
+    ts="string",
     common=_COMMON,
     page=_PAGE,
     displays=T.ArrayType(_DISPLAY),

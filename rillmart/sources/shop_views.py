@@ -96,12 +96,6 @@ def raw_logs(events: DataFrame) -> DataFrame:
 LOG_FIELDS = ["err", "ts", "common", "page", "displays", "actions", "start"]
 
 
-def typed_logs(events: DataFrame) -> DataFrame:
-    """The same logs as parsing would give them, without the trip through JSON text."""
-    corrupt = F.lit(None).cast("string").alias(schemas.CORRUPT)
-    return raw_logs(events).select(F.struct(*LOG_FIELDS, corrupt).alias("log"))
-
-
 def log_topic(events: DataFrame) -> DataFrame:
     """The raw log topic; partition and offset follow the event id."""
     return raw_logs(events).select(
@@ -227,10 +221,11 @@ def change_topic_of_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def change_topic_of_lines(lineitem: DataFrame) -> DataFrame:
-    """One change per order line (keys and quantities only)."""
-    lines = order_detail(lineitem).withColumn("change", _fact_type(F.col("order_id")))
-    data = [F.col(c) for c in ("id", "order_id", "sku_id", "sku_num", "create_time")]
+def change_topic_of_lines(lineitem: DataFrame, part: DataFrame | None = None) -> DataFrame:
+    """One change per order line, with the product's name if ``part`` is given; prices carry eight decimals."""
+    lines = order_detail(lineitem, part).withColumn("change", _fact_type(F.col("order_id")))
+    exact = {name: F.round(name, 8) for name in ("order_price", "split_total_amount")}
+    data = [exact.get(c, F.col(c)).alias(c) for c in schemas.ORDER_DETAIL.fieldNames()]
     return lines.select(
         (F.col("order_id") * 10 + 1).alias("version"), _change(F.col("change"), "order_detail", data).alias("value")
     )
@@ -286,9 +281,6 @@ class Shop:
     def log_topic(self) -> DataFrame:
         return log_topic(self.table("events"))
 
-    def typed_logs(self) -> DataFrame:
-        return typed_logs(self.table("events"))
-
     def order_info(self) -> DataFrame:
         return order_info(self.table("orders"))
 
@@ -309,7 +301,7 @@ class Shop:
         """Every change record: ``(version, value)``."""
         return (
             change_topic_of_orders(self.table("orders"))
-            .union(change_topic_of_lines(self.table("lineitem")))
+            .union(change_topic_of_lines(self.table("lineitem"), self.table("part")))
             .union(self.dimension_changes())
             .union(change_topic_of_parts(self.table("part")))
         )

@@ -61,7 +61,16 @@ def test_corrupt_records_are_kept_apart(values):
     got = routed(values, "not json", None, '{"ts": "x"', {"ts": 1, "common": COMMON, "page": PAGE})
     assert [v for t, v in got if t == topics.CORRUPT] == ["", "not json", '{"ts": "x"']
     assert [t for t, _ in got].count(topics.PAGE_LOG) == 1 and len(got) == 4
-    assert logs.corrupt_records(logs.parse_logs(values("nope"))).count() == 1
+
+
+def test_error_comes_before_unreadable_fields_and_quoted_numbers_are_read(values):
+    bad = json.dumps({"err": {"code": 1}, "ts": "soon", "common": COMMON})
+    quoted = {"ts": "7", "common": COMMON, "page": PAGE | {"during_time": "123"}}
+    got = routed(values, bad, quoted)
+    assert [t for t, _ in got] == [topics.ERROR_LOG, topics.PAGE_LOG] and got[0][1] == bad
+    page = json.loads(got[1][1])
+    assert page["ts"] == 7 and page["during_time"] == 123
+    assert logs.normal_records(logs.parse_logs(values(bad))).count() == 0
 
 
 def test_routes_agree_with_the_single_tables(values):

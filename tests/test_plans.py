@@ -113,7 +113,7 @@ def test_hot_device_and_hot_copies(spark):
     """A device with most page views, and a line that is mostly copies, still give one row each."""
     shop = views.Shop(spark, FOLDER)
     events = shop.table("events").withColumn("user_id", F.when(F.col("event_id") % 3 > 0, 1).otherwise(F.col("user_id")))
-    page_log = logs.page_views(views.typed_logs(events))
+    page_log = logs.page_views(logs.parse_logs(views.log_topic(events)))
     from rillmart.operators import dau
 
     days = dau.dau_wide(page_log, shop.user_info(), shop.base_province())

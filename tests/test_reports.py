@@ -6,16 +6,16 @@ from rillmart.operators import reports
 @pytest.fixture
 def views(spark):
     rows = [
-        # mid, user_id, dt, is_new, channel, page_id, last_page_id, during_time
-        ("a", "1", "2024-01-01", "1", "x", "home", None, 1000),
-        ("a", "1", "2024-01-01", "1", "x", "cart", "home", 3000),
-        ("a", "1", "2024-01-02", "0", "x", "home", None, None),
-        ("b", "2", "2024-01-02", "0", "y", "home", None, 2000),
+        # mid, user_id, dt, is_new, channel, page_id, last_page_id, during_time, ts
+        ("a", "1", "2024-01-01", "1", "x", "home", None, 1000, 1),
+        ("a", "1", "2024-01-01", "1", "x", "cart", "home", 3000, 2),
+        ("a", "1", "2024-01-02", "0", "x", "home", None, None, 5),
+        ("b", "2", "2024-01-02", "0", "y", "home", None, 2000, 4),
     ]
     return spark.createDataFrame(
         rows,
         "mid STRING, user_id STRING, dt STRING, is_new STRING, channel STRING, page_id STRING, last_page_id STRING,"
-        " during_time BIGINT",
+        " during_time BIGINT, ts BIGINT",
     )
 
 
@@ -28,7 +28,8 @@ def test_visits(views):
     assert only(reports.visit_total(views.where("false"))) == {"pv_count": 0, "uv_count": 0, "new_count": 0}
     assert {r.dt: r.uv for r in reports.uv_by_day(views).collect()} == {"2024-01-01": 1, "2024-01-02": 2}
     assert only(reports.visit_total(reports.last_days(views, "2024-01-02", 1)))["pv_count"] == 2
-    assert only(reports.visit_total(reports.last_days(views, "2024-01-08", 0)))["pv_count"] == 2
+    with pytest.raises(ValueError):
+        reports.last_days(views, "2024-01-08", 0)
 
 
 def test_new_and_old(views):
@@ -40,11 +41,22 @@ def test_new_and_old(views):
     assert {r.channel: r.bounce_rate for r in reports.channel_bounce(views).collect()} == {"x": 0.5, "y": 1.0}
 
 
-def test_paths_and_funnel(views):
+def test_two_visits_a_day_and_one_over_midnight(spark, views):
+    rows = [
+        ("c", "2024-01-01", "home", None, 1), ("c", "2024-01-01", "home", None, 2), ("c", "2024-01-01", "cart", "home", 3),
+        ("c", "2024-01-02", "pay", "cart", 4), ("c", "2024-01-02", "home", None, 5),
+    ]
+    more = spark.createDataFrame(rows, "mid STRING, dt STRING, page_id STRING, last_page_id STRING, ts BIGINT")
+    numbers = {r.ts: r.session for r in reports.sessions(more).collect()}
+    assert numbers == {1: 1, 2: 2, 3: 2, 4: 2, 5: 3}
+
+
+def test_paths_and_funnel(spark, views):
     assert [tuple(r) for r in reports.page_path(views).collect()] == [("home", "cart", 1)]
     assert {r.name for r in reports.page_path_nodes(views).collect()} == {"home", "cart"}
-    steps = {"home": "home", "cart": "cart", "pay": "payment"}
-    assert {r.step: r.users for r in reports.action_funnel(views, steps).collect()} == {"home": 2, "cart": 1, "pay": 0}
+    steps = {"home": ("page", "home"), "cart": ("action", "cart_add"), "pay": ("page", "payment")}
+    actions = spark.createDataFrame([("2", "cart_add"), ("2", "cart_add"), ("1", "home")], "user_id STRING, action_id STRING")
+    assert {r.step: r.users for r in reports.action_funnel(views, actions, steps).collect()} == {"home": 2, "cart": 1, "pay": 0}
 
 
 def test_users_and_orders(spark, views):
@@ -60,4 +72,5 @@ def test_users_and_orders(spark, views):
 def test_top(spark):
     lines = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 2.0)], "n STRING, split_total_amount DOUBLE")
     assert [r.name for r in reports.top_by(lines, "n", 2).collect()] == ["b", "c"]
-    assert reports.top_by(lines, "n", 0).count() == 3
+    with pytest.raises(ValueError):
+        reports.top_by(lines, "n", 0)

@@ -104,11 +104,11 @@ def test_top_terms_order(spark):
     assert [(r.key, r.n) for r in serving.top_terms(df, "k", 2).collect()] == [("c", 2), ("a", 1)]
 
 
-def test_at_most_100_groups_a_day(spark):
-    rows = [(DAY, "ring", age, 1.0) for age in range(150)] + [(DAY, "ring", 149, 1.0)]
+def test_every_group_counts(spark):
+    rows = [(DAY, "ring", age, 1.0) for age in range(150)]
     df = spark.createDataFrame(rows, "create_date STRING, sku_name STRING, user_age INT, split_total_amount DOUBLE")
-    keys = {r.key for r in serving.amount_by_field(df, "ring", "user_age").collect()}
-    assert keys == set(range(99)) | {149}
+    assert serving.amount_by_field(df, "ring", "user_age").count() == 150
+    assert sum(r.value for r in serving.stats_by_item(df, "ring", "age").collect()) == 150.0
 
 
 def test_daily_active(spark):
