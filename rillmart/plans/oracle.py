@@ -101,6 +101,19 @@ _DETAIL = f"""detail AS (
     CAST(0 AS DOUBLE) AS split_coupon_amount
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"""
 
+_INFO_COLUMNS = (
+    "id province_id order_status user_id total_amount activity_reduce_amount coupon_reduce_amount original_total_amount "
+    "feight_fee feight_fee_reduce expire_time refundable_time create_time operate_time"
+).split()
+_DETAIL_FIELDS = (
+    "id order_id sku_id order_price sku_num sku_name create_time split_total_amount split_activity_amount "
+    "split_coupon_amount"
+).split()
+_JOINED = ", ".join(
+    ["d.id AS detail_id", *(f"d.{c}" for c in _DETAIL_FIELDS[1:])]
+    + [f"i.{c}" for c in _INFO_COLUMNS if c not in ("id", "create_time")]
+)
+
 _WIDE_SELECT = f"""SELECT d.id AS detail_id, d.order_id, d.sku_id, d.order_price, d.sku_num, d.sku_name,
     d.split_total_amount, d.split_activity_amount, d.split_coupon_amount, i.province_id, i.order_status, i.user_id,
     i.total_amount, i.activity_reduce_amount, i.coupon_reduce_amount, i.original_total_amount, i.feight_fee,
@@ -222,6 +235,15 @@ _ROUTED = f"""{_PAGES}, {_DISPLAYS}, {_ACTIONS}, {_STARTS}, routed AS (
   UNION ALL SELECT 'DWD_PAGE_ACTION_TOPIC', mid, {_ACTION_JSON} FROM actions
   UNION ALL SELECT 'DWD_START_LOG_TOPIC', mid, {_START_JSON} FROM starts)"""
 
+# How many records of each topic the even and the odd events give.
+_PARITY_COUNTS = f"""{_PAGES}, counts AS (
+  SELECT e % 2 AS half, 'DWD_ERROR_LOG_TOPIC' AS topic, count(*) AS n FROM ev WHERE is_err GROUP BY 1
+  UNION ALL SELECT e % 2, 'DWD_PAGE_LOG_TOPIC', count(*) FROM page_log GROUP BY 1
+  UNION ALL SELECT e % 2, 'DWD_PAGE_DISPLAY_TOPIC', CAST(sum(e % 4) AS BIGINT) FROM page_log GROUP BY 1
+  UNION ALL SELECT e % 2, 'DWD_PAGE_ACTION_TOPIC', CAST(sum(CASE WHEN e % 9 <> 0 THEN e % 3 ELSE 0 END) AS BIGINT)
+    FROM page_log GROUP BY 1
+  UNION ALL SELECT e % 2, 'DWD_START_LOG_TOPIC', count(*) FROM ev WHERE NOT is_err AND with_start GROUP BY 1)"""
+
 # ---- change records ------------------------------------------------------------------------
 
 _INFO_JSON = _json([
@@ -324,20 +346,18 @@ def oracle_sql() -> dict[str, str]:
     log_rows = f"""SELECT 'ODS_BASE_LOG' AS topic, CAST(e % 4 AS INTEGER) AS "partition", e // 4 AS "offset",
       {_RAW_JSON} AS value FROM ev"""
     latest = f"WITH {_DIM_LATEST} SELECT table_name, id, op, version, data FROM latest"
-    near = "date_diff('second', CAST(i.create_time AS TIMESTAMP), CAST(d.create_time AS TIMESTAMP))"
     first_keys = f"WITH {_FIRST} SELECT dt, mid FROM first"
     sql = {
         "src_topic": f"WITH {_EV} {log_rows}",
         "src_topic_from_offsets": f"""WITH {_EV} SELECT * FROM ({log_rows})
           WHERE "offset" >= CASE "partition" WHEN 0 THEN 25 WHEN 1 THEN 100 WHEN 2 THEN 60 ELSE 0 END""",
-        "commit_after_write": topic_counts,
-        "resume": topic_counts,
+        "commit_after_write": f"WITH {_PARITY_COUNTS} SELECT half AS batch, topic, n FROM counts WHERE n > 0",
+        "resume": f"WITH {_PARITY_COUNTS} SELECT half AS run, half AS batch, topic, n FROM counts WHERE n > 0",
         "trigger_5s": topic_counts,
         "sink_topics": f"WITH {_ROUTED} SELECT topic, value FROM routed",
         "sink_topics_keyed": f"WITH {_ROUTED} SELECT topic, key, value FROM routed",
         "route_log": f"WITH {_ROUTED} SELECT topic, value FROM routed",
-        "sink_upsert_daily": f"""WITH {_DAU}
-          SELECT dt, mid, hr, ts, user_gender, user_age, province_name FROM dau""",
+        "sink_upsert_daily": all_dau,
         "scan_index_field": f"WITH {_DAU} SELECT mid FROM dau WHERE dt = '{DAY}'",
         "sink_dim_upsert": latest,
         "dim_latest": latest,
@@ -367,9 +387,8 @@ def oracle_sql() -> dict[str, str]:
           CAST(NULL AS VARCHAR) AS province_name, CAST(NULL AS VARCHAR) AS province_iso_code,
           CAST(NULL AS VARCHAR) AS province_3166_2, CAST(NULL AS VARCHAR) AS province_area_code,
           CAST(NULL AS VARCHAR) AS dt, CAST(NULL AS VARCHAR) AS hr, ts FROM page_log""",
-        "merge_order_wide": f"""WITH {_INFO}, {_DETAIL} SELECT d.id AS detail_id, d.order_id, d.sku_id, d.sku_name,
-          i.user_id, d.create_time, substr(i.create_time, 1, 10) AS create_date, d.split_total_amount
-          FROM detail d JOIN info i ON d.order_id = i.id""",
+        "merge_order_wide": f"""WITH {_INFO}, {_DETAIL} SELECT {_JOINED}, substr(i.create_time, 1, 10) AS create_date,
+          substr(i.create_time, 12, 2) AS create_hour FROM info i JOIN detail d ON d.order_id = i.id""",
         "stat_fields": f"WITH {_WIDE} SELECT {_DETAIL_COLUMNS} FROM wide",
         "route_error": f"WITH {_EV} SELECT {_RAW_JSON} AS value FROM ev WHERE is_err",
         "has_page": f"WITH {_EV} SELECT ts, page_id FROM ev WHERE NOT is_err AND with_page",
@@ -387,11 +406,12 @@ def oracle_sql() -> dict[str, str]:
         "dim_join_province": f"""WITH {_INFO}, {_PROVINCES} SELECT i.id, province_id, name AS province_name,
           iso_code AS province_iso_code, iso_3166_2 AS province_3166_2_code, area_code AS province_area_code
           FROM info i LEFT JOIN provinces p ON i.province_id = p.id""",
-        "order_full_outer": f"""WITH {_INFO}, {_DETAIL} SELECT i.id AS info_id, i.user_id AS info_user_id,
-          d.id AS detail_id, d.order_id AS detail_order_id, d.sku_id AS detail_sku_id
+        "order_full_outer": f"""WITH {_INFO}, {_DETAIL.replace("p_name AS sku_name", "CAST(NULL AS VARCHAR) AS sku_name")}
+          SELECT {", ".join(f"i.{c} AS info_{c}" for c in _INFO_COLUMNS)},
+            {", ".join(f"d.{c} AS detail_{c}" for c in _DETAIL_FIELDS)}
           FROM info i FULL OUTER JOIN detail d ON d.order_id = i.id""",
-        "order_buffered_join": f"""WITH {_INFO}, {_DETAIL} SELECT DISTINCT d.id AS detail_id, d.order_id, d.sku_id,
-          i.user_id, d.create_time FROM info i JOIN detail d ON d.order_id = i.id WHERE abs({near}) <= 86400""",
+        "order_buffered_join": f"""WITH {_INFO}, {_DETAIL} SELECT DISTINCT {_JOINED}
+          FROM info i JOIN detail d ON d.order_id = i.id""",
         "state_ttl_24h": f"""WITH {_INFO}, {_DETAIL} SELECT DISTINCT d.id AS detail_id, d.order_id, d.create_time
           FROM info i JOIN detail d ON d.order_id = i.id WHERE d.id % 7 <> 0""",
         "order_wide": f"WITH {_WIDE_ONCE} SELECT * FROM wide",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmart import schemas
@@ -22,6 +23,7 @@ DAY = "2024-01-15"  # day of the single-day queries
 ITEM = "red widget"  # search text of the item queries
 FACTS = ["order_info", "order_detail"]
 DIMS = ["user_info", "base_province"]
+ARRIVALS = 1706745600  # 2024-02-01, when the first file of a topic arrives
 STARTING_OFFSETS = {0: 25, 1: 100, 2: 60}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,22 +113,67 @@ def src_topic_from_offsets(shop: Shop) -> DataFrame:
     return _copied_topic(shop, "src_topic_from_offsets", topics.from_offsets(log_stream(shop), STARTING_OFFSETS))
 
 
-def _routed_counts(shop: Shop, name: str, runs: int) -> DataFrame:
+def _arriving(shop: Shop, name: str, rows: DataFrame, file: Column | None = None, hours: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
+    """The rows as a topic that arrives in several files, read one file a batch.
+
+    ``file`` is each row's file, by default dealt at random; ``hours`` says when each arrives, as ``timestamp``.
+    """
     folder = run_folder(shop.spark, name)
-    for _ in range(runs):
-        writer = sinks.topic_files(jobs.routed_logs(log_stream(shop)), f"{folder}/topics")
-        run.run_to_end(shop.spark, writer, f"{folder}/checkpoint")
-    return sinks.read_topic_files(shop.spark, f"{folder}/topics").groupBy("topic").agg(F.count("*").alias("n"))
+    rows = rows.drop("timestamp")
+    mark = F.pmod(F.xxhash64(*rows.columns), F.lit(len(hours))) if file is None else file
+    dealt = rows.withColumn("_file", mark.cast("int"))
+    for number, hour in enumerate(hours):
+        here = dealt.where(F.col("_file") == number).drop("_file")
+        here = here.withColumn("timestamp", F.timestamp_seconds(F.lit(ARRIVALS + hour * 3600)))
+        here.write.mode("append").parquet(folder)
+    return shop.spark.readStream.schema(here.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _increments(shop: Shop, name: str) -> Iterator[tuple[int, DataFrame]]:
+    """The log topic in two parts, of which the second comes after the first was consumed: ``(number, stream)``."""
+    folder, events = f"{run_folder(shop.spark, name)}/in", shop.table("events")
+    for part in range(2):
+        records = views.log_topic(events.where(F.col("event_id") % 2 == part))
+        records.write.mode("append").parquet(folder)
+        yield part, topics.file_topic(shop.spark, folder)
 
 
 @query
 def commit_after_write(shop: Shop) -> DataFrame:
-    return _routed_counts(shop, "commit_after_write", runs=1)
+    """The first try of each batch fails before its output; were the offsets committed before it, the retry had nothing to do."""
+    folder, failed = run_folder(shop.spark, "commit_after_write"), set()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError("the sink is down")
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+
+    for _, records in _increments(shop, "commit_after_write"):
+        routed = jobs.routed_logs(records).select("topic", "value")
+        for _ in range(2):
+            try:
+                run.run_to_end(shop.spark, routed.writeStream.foreachBatch(write), f"{folder}/checkpoint")
+            except StreamingQueryException as error:
+                if "the sink is down" not in str(error):
+                    raise
+    return _counts_by(shop, f"{folder}/out", "batch")
 
 
 @query
 def resume(shop: Shop) -> DataFrame:
-    return _routed_counts(shop, "resume", runs=2)
+    """Two runs over a topic that grew between them; the second goes on where the first ended."""
+    folder = run_folder(shop.spark, "resume")
+    for number, records in _increments(shop, "resume"):
+        routed = jobs.routed_logs(records).select("topic", "value")
+        write = lambda batch, n, run=number: batch.write.parquet(f"{folder}/out/run={run}/batch={n}")
+        run.run_to_end(shop.spark, routed.writeStream.foreachBatch(write), f"{folder}/checkpoint")
+    return _counts_by(shop, f"{folder}/out", "run", "batch")
+
+
+def _counts_by(shop: Shop, path: str, *parts: str) -> DataFrame:
+    schema = ", ".join(["topic STRING", "value STRING", *[f"{p} BIGINT" for p in parts]])
+    return shop.spark.read.schema(schema).parquet(path).groupBy(*parts, "topic").agg(F.count("*").alias("n"))
 
 
 @query
@@ -152,17 +199,20 @@ def _dau_table(shop: Shop, name: str) -> sinks.DailyTable:
 
 @query
 def sink_upsert_daily(shop: Shop) -> DataFrame:
-    """Written twice, as after a replay; every id is there once."""
-    table = _dau_table(shop, "sink_upsert_daily")
+    """A stream writes rows with stale values, a batch corrects them and is then replayed; every id is there once."""
+    table, folder = _dau_table(shop, "sink_upsert_daily"), run_folder(shop.spark, "sink_upsert_daily")
+    rows = dau_index(shop).withColumn("province_name", F.lit("stale"))
+    stream = _arriving(shop, "sink_upsert_daily", rows)
+    run.run_to_end(shop.spark, table.stream(stream), f"{folder}/checkpoint")
     for _ in range(2):
-        table.append(dau_index(shop))
-    return table.read().select("dt", "mid", "hr", "ts", "user_gender", "user_age", "province_name")
+        table.append(dau_index(shop), version=1000)
+    return table.read()
 
 
 @query
 def scan_index_field(shop: Shop) -> DataFrame:
     table = _dau_table(shop, "scan_index_field")
-    table.append(dau_index(shop))
+    table.append(dau_index(shop), version=1)
     return serving.scan_field(table.read(DAY), "mid", DAY)
 
 
@@ -181,9 +231,11 @@ def all_change_stream(shop: Shop) -> DataFrame:
     )
 
 
-def _route_change_stream(shop: Shop, name: str, records: DataFrame) -> tuple[str, sinks.DimensionStore]:
+def _route_change_stream(
+    shop: Shop, name: str, records: DataFrame, compact_every: int = 100
+) -> tuple[str, sinks.DimensionStore]:
     folder = run_folder(shop.spark, name)
-    store = sinks.DimensionStore(shop.spark, f"{folder}/dims")
+    store = sinks.DimensionStore(shop.spark, f"{folder}/dims", compact_every)
     jobs.save_table_lists(lists(shop), f"{folder}/lists")
     writer = jobs.change_router(records, f"{folder}/lists", f"{folder}/facts", store)
     run.run_to_end(shop.spark, writer, f"{folder}/checkpoint")
@@ -192,7 +244,9 @@ def _route_change_stream(shop: Shop, name: str, records: DataFrame) -> tuple[str
 
 @query
 def sink_dim_upsert(shop: Shop) -> DataFrame:
-    _, store = _route_change_stream(shop, "sink_dim_upsert", dim_change_stream(shop))
+    """Several batches with the changes in any order, and a snapshot between them."""
+    records = _arriving(shop, "sink_dim_upsert", shop.dimension_changes())
+    _, store = _route_change_stream(shop, "sink_dim_upsert", records, compact_every=2)
     return store.read().select("table_name", "id", "op", "version", "data")
 
 
@@ -282,10 +336,7 @@ def copy_by_name(shop: Shop) -> DataFrame:
 @query
 def merge_order_wide(shop: Shop) -> DataFrame:
     """Header and line merged without any lookup; the line's time wins."""
-    merged = orders.merge(orders.enrich_headers(shop.order_info(), None, None), shop.order_detail())
-    return merged.select(
-        "detail_id", "order_id", "sku_id", "sku_name", "user_id", "create_time", "create_date", "split_total_amount"
-    )
+    return orders.merge(orders.enrich_headers(shop.order_info(), None, None), shop.order_detail())
 
 
 @query
@@ -338,7 +389,7 @@ def match_all_terms(shop: Shop) -> DataFrame:
 def day_partition(shop: Shop) -> DataFrame:
     """One day of a table partitioned by day, and a day that is not there."""
     table = _dau_table(shop, "day_partition")
-    table.append(dau_index(shop))
+    table.append(dau_index(shop), version=1)
     index = table.read()
     there = serving.dau_total(index, DAY)
     missing = serving.dau_total(index, "1999-01-01")
@@ -364,14 +415,13 @@ def dim_join_province(shop: Shop) -> DataFrame:
 
 @query
 def order_full_outer(shop: Shop) -> DataFrame:
-    joined = orders.full_outer(shop.order_info(), shop.order_lines())
-    return joined.select("info_id", "info_user_id", "detail_id", "detail_order_id", "detail_sku_id")
+    return orders.full_outer(shop.order_info(), shop.order_lines())
 
 
-def order_streams(shop: Shop, names: bool = False) -> tuple[DataFrame, DataFrame]:
-    stream = lambda name: stream_table(shop.spark, shop.folder, name)
-    part = shop.table("part") if names else None
-    return views.order_info(stream("orders")), views.order_detail(stream("lineitem"), part)
+def order_streams(shop: Shop, name: str, line_file: Column | None = None, hours: tuple[int, ...] = (0, 1, 2)):
+    """Headers and lines in several files each, dealt apart from each other."""
+    info = _arriving(shop, f"{name}-info", shop.order_info())
+    return info, _arriving(shop, f"{name}-detail", shop.order_detail(), line_file, hours)
 
 
 def _run_to_files(shop: Shop, name: str, stream: DataFrame, by: str | None = None) -> DataFrame:
@@ -385,19 +435,16 @@ def _run_to_files(shop: Shop, name: str, stream: DataFrame, by: str | None = Non
 
 @query
 def order_buffered_join(shop: Shop) -> DataFrame:
-    info, detail = order_streams(shop)
-    joined = jobs.buffered_join(info, detail).select("detail_id", "order_id", "sku_id", "user_id", "create_time")
+    joined = jobs.buffered_join(*order_streams(shop, "order_buffered_join"))
+    joined = joined.select(*[c for c in schemas.ORDER_WIDE if c in joined.columns])
     return dims.keep_latest(_run_to_files(shop, "order_buffered_join", joined), ["detail_id"], ["create_time"])
 
 
 @query
 def state_ttl_24h(shop: Shop) -> DataFrame:
-    """The same join over a detail stream of which every seventh line comes 30 hours after its header."""
-    info, detail = order_streams(shop)
-    late = F.date_format(
-        F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss") + F.expr("INTERVAL 30 HOURS"), "yyyy-MM-dd HH:mm:ss"
-    )
-    detail = detail.withColumn("create_time", F.when(F.col("id") % 7 == 0, late).otherwise(F.col("create_time")))
+    """The same join over a detail stream of which every seventh line arrives more than 24 hours after its header."""
+    late = F.when(F.col("id") % 7 == 0, 3).otherwise(F.pmod(F.xxhash64("id"), F.lit(3)))
+    info, detail = order_streams(shop, "state_ttl_24h", late, (0, 1, 2, 30))
     joined = jobs.buffered_join(info, detail).select("detail_id", "order_id", "create_time")
     return dims.keep_latest(_run_to_files(shop, "state_ttl_24h", joined), ["detail_id"], ["create_time"])
 
@@ -411,11 +458,12 @@ def order_wide(shop: Shop) -> DataFrame:
 
 @query
 def order_wide_stream(shop: Shop) -> DataFrame:
-    info, detail = order_streams(shop, names=True)
-    wide = jobs.order_wide_stream(info, detail, shop.user_info(), shop.base_province(), AS_OF)
+    info, detail = order_streams(shop, "order_wide_stream")
     folder = run_folder(shop.spark, "order_wide_stream")
-    table = sinks.DailyTable(shop.spark, f"{folder}/wide", wide.schema, "detail_id", "create_date")
-    run.run_to_end(shop.spark, table.stream(wide), f"{folder}/checkpoint")
+    schema = schemas.like(order_index(shop, user=True, province=True), schemas.ORDER_WIDE)
+    table = sinks.DailyTable(shop.spark, f"{folder}/wide", schema, "detail_id", "create_date")
+    job = jobs.order_job(info, detail, shop.user_info, shop.base_province, table, f"{folder}/alone", AS_OF)
+    run.run_to_end(shop.spark, job, f"{folder}/checkpoint")
     return table.read().select(*schemas.ORDER_WIDE)
 
 
@@ -476,7 +524,7 @@ def dau_dedup(shop: Shop) -> DataFrame:
 @query
 def dau_dedup_stream(shop: Shop) -> DataFrame:
     """Which row of a device and day arrives first is up to the stream, so only the keys are returned."""
-    page_views = logs.page_views(logs.parse_logs(log_stream(shop)), "partition", "offset")
+    page_views = logs.page_views(logs.parse_logs(_arriving(shop, "dau_dedup_stream", shop.log_topic())), "timestamp")
     first = jobs.first_of_day_stream(page_views).select("dt", "mid")
     return _run_to_files(shop, "dau_dedup_stream", first, by="dt").select("dt", "mid")
 
@@ -488,7 +536,7 @@ def dau_state_rebuild(shop: Shop) -> DataFrame:
     table = sinks.DailyTable(
         shop.spark, f"{run_folder(shop.spark, 'dau_state_rebuild')}/dau", first.schema, "mid"
     )
-    table.append(first.where(F.col("dt") < DAY))
+    table.append(first.where(F.col("dt") < DAY), version=1)
     return dau.not_yet_stored(first, table.writes()).select("dt", "mid", "ts")
 
 
@@ -626,10 +674,11 @@ def dau_wide(shop: Shop) -> DataFrame:
 @query
 def dau_wide_stream(shop: Shop) -> DataFrame:
     """The streaming job, log topic to daily index; only columns that every row of a device shares."""
-    page_views = logs.page_views(logs.parse_logs(log_stream(shop)), "partition", "offset")
-    stream = jobs.dau_stream(page_views, shop.user_info(), shop.base_province(), AS_OF)
-    stored = _run_to_files(shop, "dau_wide_stream", stream, by="dt")
-    return stored.select("dt", "mid", "user_id", "user_gender", "user_age", "province_name", "province_3166_2")
+    page_views = logs.page_views(logs.parse_logs(_arriving(shop, "dau_wide_stream", shop.log_topic())), "timestamp")
+    table, folder = _dau_table(shop, "dau_wide_stream"), run_folder(shop.spark, "dau_wide_stream")
+    job = jobs.dau_job(page_views, shop.user_info, shop.base_province, table, AS_OF)
+    run.run_to_end(shop.spark, job, f"{folder}/checkpoint")
+    return table.read().select("dt", "mid", "user_id", "user_gender", "user_age", "province_name", "province_3166_2")
 
 
 @query

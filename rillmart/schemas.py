@@ -23,6 +23,11 @@ def struct(**fields: str | T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[t] if isinstance(t, str) else t) for n, t in fields.items()])
 
 
+def like(df, names) -> T.StructType:
+    """The schema of some columns of ``df``, in the order of ``names``."""
+    return T.StructType([df.schema[name] for name in names])
+
+
 def strings(*names: str) -> dict[str, str]:
     return dict.fromkeys(names, "string")
 

@@ -14,27 +14,20 @@ TRIGGER = "5 seconds"  # fixed value: micro-batch interval
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _state_partitions(spark: SparkSession) -> int:
-    if spark.sparkContext.master.startswith("local"):
-        return spark.sparkContext.defaultParallelism
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 @contextmanager
 def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings a stateful stream copies when it starts.
 
     State lives in RocksDB, off the heap, and each batch uploads only its
-    changes. The number of state partitions is fixed by the first start: it is
-    the session's shuffle partitions, or in local mode the cores, where one
-    store for each of 200 partitions would only cost time.
+    changes. The number of state partitions is fixed by the first start:
+    ``partitions``, or else the session's shuffle partitions.
     """
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         # One store per join partition instead of four.
         "spark.sql.streaming.join.stateFormatVersion": "3",
-        "spark.sql.shuffle.partitions": str(partitions or _state_partitions(spark)),
+        "spark.sql.shuffle.partitions": str(partitions or spark.conf.get("spark.sql.shuffle.partitions")),
     }
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():

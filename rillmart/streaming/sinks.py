@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,38 +66,43 @@ def stream_topic_files(spark: SparkSession, path: str, topic: str) -> DataFrame:
 class DailyTable:
     """A table with one partition per day in which a later write of an id replaces the earlier one.
 
-    Writes only append, stamped with their load time; reads keep the last write
-    of each ``(day, id)``. A small write so never rewrites a day, and writing
-    the same rows again changes nothing. ``compact`` writes the kept rows to a
-    plain table that readers can scan without the dedup.
+    Writes only append, each into a folder named by its source and version; the
+    same source and version written again replace what they wrote before. Of the
+    rows of a ``(day, id)``, reads keep the one with the highest version, then
+    source, then place in its write. Streams and batches may write the same
+    table. ``compact`` writes the kept rows to a plain table that readers can
+    scan without the dedup.
     """
 
-    LOADED = "_loaded"
+    STAMPS = {"_version": "bigint", "_source": "string", "_row": "bigint"}
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, doc_id: str, day: str = "dt"):
         self.spark, self.path, self.schema, self.doc_id, self.day = spark, path, schema, doc_id, day
 
-    def _stamped(self, df: DataFrame) -> DataFrame:
-        return df.select(*self.schema.fieldNames()).withColumn(self.LOADED, F.current_timestamp())
+    def append(self, df: DataFrame, version: int, source: str = "batch") -> None:
+        """One write. Rebalancing by day keeps files large, and splits a day that is large."""
+        rows = df.select(*self.schema.fieldNames()).hint("rebalance", F.col(self.day))
+        rows = rows.withColumn("_row", F.monotonically_increasing_id())
+        target = f"{self.path}/_version={version}/_source={source}"
+        rows.write.mode("overwrite").partitionBy(self.day).parquet(target)
 
-    def append(self, df: DataFrame) -> None:
-        """Batch write. Rebalancing by day keeps files large, and splits a day that is large."""
-        rows = self._stamped(df).hint("rebalance", F.col(self.day))
-        rows.write.mode("append").partitionBy(self.day).parquet(self.path)
-
-    def stream(self, df: DataFrame) -> DataStreamWriter:
-        rows = self._stamped(df)
-        return rows.writeStream.format("parquet").option("path", self.path).partitionBy(self.day)
+    def stream(self, df: DataFrame, first_version: int = 0, source: str = "stream") -> DataStreamWriter:
+        """Each micro-batch is one write, so a batch that is replayed replaces itself."""
+        return df.writeStream.foreachBatch(lambda batch, n: self.append(batch, first_version + n, source))
 
     def writes(self) -> DataFrame:
-        """Every write, replaced or not."""
-        schema = T.StructType([*self.schema.fields, T.StructField(self.LOADED, T.TimestampType())])
-        return self.spark.read.schema(schema).parquet(self.path)
+        """Every write, replaced or not; no rows before the first."""
+        schema = T.StructType([*self.schema.fields, *struct(**self.STAMPS).fields])
+        try:
+            return self.spark.read.schema(schema).parquet(self.path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def read(self, day: str | None = None) -> DataFrame:
         writes = self.writes() if day is None else self.writes().where(F.col(self.day) == day)
-        rest = [c for c in self.schema.fieldNames() if c not in (self.day, self.doc_id)]
-        latest = keep_latest(writes, [self.day, self.doc_id], [self.LOADED, *rest])
+        latest = keep_latest(writes, [self.day, self.doc_id], list(self.STAMPS))
         return latest.select(*self.schema.fieldNames())
 
     def compact(self, target: str, day: str | None = None) -> DataFrame:
@@ -116,29 +122,59 @@ class DailyTable:
 
 
 class DimensionStore:
-    """All dimension rows by table; the latest version of an id is what readers see."""
+    """All dimension rows by table; the latest version of an id is what readers see.
+
+    Batches are appended below the current base. After ``compact_every`` batches
+    the writer makes a snapshot of the latest rows, the next base: readers scan
+    one snapshot and the batches after it. A base becomes current by a one-row
+    write once it is whole, so readers never see half of it.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, compact_every: int = 100):
+        if compact_every < 1:
+            raise ValueError("compact_every must be at least 1")
+        self.spark, self.path, self.compact_every = spark, path, compact_every
+
+    def _base(self) -> int:
+        """The batch the newest snapshot includes; -1 before the first."""
+        try:
+            found = self.spark.read.schema("base BIGINT").parquet(f"{self.path}/current").agg(F.max("base")).first()[0]
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            found = None
+        return -1 if found is None else found
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Write one batch; writing the same batch again replaces it."""
-        (
-            rows.select(*DIM_RECORD.fieldNames())
-            .write.mode("overwrite")
-            .partitionBy("table_name")
-            .parquet(f"{self.path}/batch={batch_id}")
-        )
+        """Write one batch; writing it again replaces it, or does nothing once a snapshot includes it."""
+        base = self._base()
+        if batch_id <= base:
+            return
+        self._put(rows, base, batch_id)
+        if batch_id - base >= self.compact_every:
+            self.compact(batch_id)
+
+    def _put(self, rows: DataFrame, base: int, batch: int) -> None:
+        rows = rows.select(*DIM_RECORD.fieldNames())
+        rows.write.mode("overwrite").partitionBy("table_name").parquet(f"{self.path}/base={base}/batch={batch}")
 
     def writes(self) -> DataFrame:
+        """The current snapshot and the batches after it; no rows before the first write."""
         schema = T.StructType([*DIM_RECORD.fields, T.StructField("batch", T.LongType())])
-        return self.spark.read.schema(schema).parquet(self.path).select(*DIM_RECORD.fieldNames())
+        try:
+            found = self.spark.read.schema(schema).parquet(f"{self.path}/base={self._base()}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            found = self.spark.createDataFrame([], schema)
+        return found.select(*DIM_RECORD.fieldNames())
 
     def read(self, drop_deleted: bool = False) -> DataFrame:
+        """The rows as of now; a running job that calls this in each batch sees new ones."""
         return dim_latest(self.writes(), drop_deleted)
 
-    def compact(self, target: str) -> DimensionStore:
-        """Write the latest rows to a new store (as its batch 0); later batches may follow it there."""
-        store = DimensionStore(self.spark, target)
-        store.append(self.read(), 0)
-        return store
+    def compact(self, batch_id: int) -> None:
+        """Make the latest rows, up to and with batch ``batch_id``, the new base. Older bases stay for their readers."""
+        self._put(self.read(), batch_id, batch_id)
+        current = self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("base"))
+        current.write.mode("append").parquet(f"{self.path}/current")

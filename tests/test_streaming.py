@@ -21,31 +21,36 @@ class Feed:
     def __init__(self, spark, name):
         self.spark, self.path, self.n = spark, f"{run_folder(spark, name)}/in", 0
 
-    def add(self, *rows):
+    def add(self, *rows, hour=None):
+        """One file, which arrives ``hour`` hours after the first."""
         values = [(r if isinstance(r, str) else json.dumps(r),) for r in rows]
         df = self.spark.createDataFrame(values, "value STRING").withColumn("version", F.lit(self.n).cast("bigint"))
-        df.coalesce(1).write.mode("append").parquet(self.path)
+        arrived = F.timestamp_seconds(F.lit(1706745600 + 3600 * (self.n if hour is None else hour)))
+        df.withColumn("timestamp", arrived).coalesce(1).write.mode("append").parquet(self.path)
         self.n += 1
 
     def stream(self):
-        reader = self.spark.readStream.schema("value STRING, version BIGINT").option("maxFilesPerTrigger", 1)
-        return reader.parquet(self.path)
+        schema = "value STRING, version BIGINT, timestamp TIMESTAMP"
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(self.path)
 
 
 def page(mid, when, last=None, **more):
     return {"mid": mid, "user_id": "1", "province_id": "1", "page_id": "home", "last_page_id": last, "ts": ms(when)} | more
 
 
-def test_daily_dedup_over_batches_and_restart(spark):
+def test_daily_dedup_over_batches_restart_and_backlog(spark):
     feed, folder = Feed(spark, "t_dau"), run_folder(spark, "t_dau")
-    users = spark.createDataFrame([(1, "F", "2000-01-01")], schemas.USER_INFO)
+    dims_path = f"{folder}/dims"
+    store = sinks.DimensionStore(spark, dims_path, compact_every=2)
+    store.append(dim_rows(spark, ("user_info", 1, {"id": 1, "gender": "F", "birthday": "2000-01-01"})), 0)
     provinces = spark.createDataFrame([(1, "North", "CN-1", "CN-N1", "100001")], schemas.BASE_PROVINCE)
     schema = schemas.struct(**{c: "bigint" if c in ("ts", "during_time") else "string" for c in schemas.DAU_INFO})
     table = sinks.DailyTable(spark, f"{folder}/dau", schema, "mid")
 
     def go():
-        log = from_wire(feed.stream(), schemas.PAGE_LOG)
-        run.run_to_end(spark, table.stream(jobs.dau_stream(log, users, provinces, "2024-06-30")), f"{folder}/c", 4)
+        log = from_wire(feed.stream(), schemas.PAGE_LOG, "timestamp")
+        job = jobs.dau_job(log, lambda: dims.users(store.read()), lambda: provinces, table, "2024-06-30")
+        run.run_to_end(spark, job, f"{folder}/c", 4)
 
     feed.add(page("a", "2024-01-01 23:59:58"), page("a", "2024-01-01 23:59:59"), page("b", "2024-01-01 10:00:00", "x"))
     feed.add(page("a", "2024-01-01 23:59:59"), page("a", "2024-01-02 00:00:00"), page("b", "2024-01-02 10:00:00"))
@@ -53,14 +58,50 @@ def test_daily_dedup_over_batches_and_restart(spark):
     want = [("2024-01-01", "a"), ("2024-01-02", "a"), ("2024-01-02", "b")]
     assert sorted((r.dt, r.mid) for r in table.writes().collect()) == want
     go()  # nothing new
-    feed.add(page("a", "2024-01-02 11:00:00"), page("c", "2024-01-02 11:00:00"))
-    go()  # state survived the restarts
-    assert sorted((r.dt, r.mid) for r in table.writes().collect()) == want + [("2024-01-02", "c")]
+    # the user changes and another comes while the job's checkpoint lives on
+    store.append(dim_rows(spark, ("user_info", 2, {"id": 1, "gender": "M", "birthday": "2000-01-01"}),
+                          ("user_info", 3, {"id": 2, "gender": "F", "birthday": "2000-01-01"})), 1)
+    feed.add(page("a", "2024-01-02 11:00:00"), page("c", "2024-01-02 11:00:00"), page("d", "2023-06-01 11:00:00", user_id="2"))
+    go()  # state survived the restarts; a view of half a year ago is no less a view
+    new = [("2023-06-01", "d"), ("2024-01-02", "c")]
+    assert sorted((r.dt, r.mid) for r in table.writes().collect()) == sorted(want + new)
+    # long after the state is gone, the index still knows the device
+    feed.add(page("e", "2024-01-09 11:00:00"), hour=100)
+    feed.add(page("a", "2024-01-01 23:59:59"), page("f", "2024-01-09 11:00:00"), hour=200)
+    go()
+    assert table.writes().where("mid = 'a'").count() == 2 and table.read().where("mid IN ('e', 'f')").count() == 2
     batch = dau.first_times(from_wire(spark.read.parquet(feed.path), schemas.PAGE_LOG))
-    assert sorted((r.dt, r.mid) for r in batch.collect()) == sorted(
-        (r.dt, r.mid) for r in table.read().collect()
-    )
-    assert {r.user_gender for r in table.read("2024-01-02").collect()} == {"F"}
+    assert sorted((r.dt, r.mid) for r in batch.collect()) == sorted((r.dt, r.mid) for r in table.read().collect())
+    assert {(r.mid, r.user_gender) for r in table.read("2024-01-02").collect()} == {("a", "F"), ("b", "F"), ("c", "M")}
+    assert [r.user_gender for r in table.read("2023-06-01").collect()] == ["F"]
+
+
+def dim_rows(spark, *changed):
+    rows = [(t, str(d["id"]), f"{t}:{d['id']}", "U", v, json.dumps(d)) for t, v, d in changed]
+    return spark.createDataFrame(rows, sinks.DIM_RECORD)
+
+
+def test_dimension_store_keeps_one_snapshot_and_the_batches_after_it(spark):
+    store = sinks.DimensionStore(spark, f"{run_folder(spark, 't_store')}/dims", compact_every=2)
+    assert store.read().count() == 0
+    user = lambda v, name: dim_rows(spark, ("user_info", v, {"id": 1, "gender": name}))
+    for batch, name in enumerate("ABC"):
+        store.append(user(batch, name), batch)
+    assert store.writes().count() == 2  # the snapshot of the first two, and the third
+    store.append(user(0, "A"), 0)  # a replay of what the snapshot includes
+    assert [json.loads(r.data)["gender"] for r in store.read().collect()] == ["C"]
+    assert store.writes().count() == 2
+
+
+def test_streams_are_complete_over_many_batches(spark):
+    """Shuffled files, one a batch, whose event times are months apart."""
+    from rillmart.plans import queries
+    from rillmart.sources.shop_views import Shop
+
+    shop = Shop(spark, "/root/testdata/sf0.001")
+    lines = shop.order_lines().select("id").distinct().count()
+    joined = jobs.buffered_join(*queries.order_streams(shop, "t_complete")).select("detail_id")
+    assert queries._run_to_files(shop, "t_complete", joined).distinct().count() == lines
 
 
 def info(order, when):
@@ -78,7 +119,8 @@ def test_buffered_join_in_any_order_of_arrival(spark, salts):
 
     def go():
         joined = jobs.buffered_join(
-            from_rows(headers.stream(), schemas.ORDER_INFO), from_rows(lines.stream(), schemas.ORDER_DETAIL), salts=salts
+            from_rows(headers.stream(), schemas.ORDER_INFO, "timestamp"),
+            from_rows(lines.stream(), schemas.ORDER_DETAIL, "timestamp"), salts=salts,
         ).select("detail_id", "order_id")
         run.run_to_end(spark, joined.writeStream.format("parquet").option("path", out), f"{folder}/c", 4)
 
@@ -88,8 +130,8 @@ def test_buffered_join_in_any_order_of_arrival(spark, salts):
     headers.add(info(3, "2024-01-01 11:00:00"), info(1, "2024-01-01 10:00:00"))  # header after its line; a replay
     lines.add(line(21, 2, "2024-01-01 10:00:02"), line(12, 1, "2024-01-01 10:00:02"))  # line after its header
     go()
-    headers.add(info(4, "2024-01-05 10:00:00"))
-    lines.add(line(22, 2, "2024-01-02 10:00:01"), line(41, 4, "2024-01-05 10:00:00"))  # 22: over 24 hours apart
+    headers.add(info(4, "2023-01-05 10:00:00"), hour=40)
+    lines.add(line(22, 2, "2024-01-02 10:00:01"), line(41, 4, "2024-01-05 10:00:00"), hour=40)  # 22: over 24 hours later
     go()
     rows = spark.read.parquet(out).collect()
     assert sorted((r.detail_id, r.order_id) for r in rows) == [(11, 1), (12, 1), (21, 2), (31, 3), (41, 4)]
@@ -99,12 +141,13 @@ def test_lines_that_never_find_a_header(spark):
     headers, lines, folder = Feed(spark, "t_info"), Feed(spark, "t_detail"), run_folder(spark, "t_orphan")
     headers.add(info(1, "2024-01-01 10:00:00"))
     lines.add(line(11, 1, "2024-01-01 10:00:01"), line(99, 9, "2024-01-01 10:00:01"))
-    headers.add(info(2, "2024-01-09 10:00:00"))
-    lines.add(line(21, 2, "2024-01-09 10:00:01"))
-    headers.add(info(3, "2024-01-19 10:00:00"))
-    lines.add(line(31, 3, "2024-01-19 10:00:01"))
+    headers.add(info(2, "2024-01-09 10:00:00"), hour=200)
+    lines.add(line(21, 2, "2024-01-09 10:00:01"), hour=200)
+    headers.add(info(3, "2024-01-19 10:00:00"), hour=400)
+    lines.add(line(31, 3, "2024-01-19 10:00:01"), hour=400)
     joined = jobs.buffered_join(
-        from_rows(headers.stream(), schemas.ORDER_INFO), from_rows(lines.stream(), schemas.ORDER_DETAIL), "left_outer"
+        from_rows(headers.stream(), schemas.ORDER_INFO, "timestamp"),
+        from_rows(lines.stream(), schemas.ORDER_DETAIL, "timestamp"), "left_outer",
     ).select("detail_id", "_header_id")
     run.run_to_end(spark, joined.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/c", 4)
     rows = {r.detail_id: r._header_id for r in spark.read.parquet(f"{folder}/out").collect()}
@@ -140,21 +183,21 @@ def test_change_router_reloads_lists_and_replays(spark):
     again = changes.dim_records(changes.parse_changes(spark.read.parquet(feed.path).where("version = 1")), batch)
     store.append(again, 1)
     assert store.writes().count() == 2
-    small = store.compact(f"{folder}/dims2")
-    assert small.writes().count() == 1 and small.read().collect()[0].op == "U"
+    store.compact(1)
+    assert store.writes().count() == 1 and store.read().collect()[0].op == "U"
 
 
 def test_upsert_keeps_the_last_write(spark):
     schema = schemas.struct(mid="string", v="bigint", dt="string")
     table = sinks.DailyTable(spark, f"{run_folder(spark, 't_upsert')}/t", schema, "mid")
     make = lambda *rows: spark.createDataFrame(list(rows), schema)
-    table.append(make(("a", 9, "2024-01-01"), ("b", 1, "2024-01-01"), ("a", 1, "2024-01-02")))
-    table.append(make(("a", 2, "2024-01-01")))
+    table.append(make(("a", 2, "2024-01-01")), 2)
+    table.append(make(("a", 9, "2024-01-01"), ("b", 1, "2024-01-01"), ("a", 1, "2024-01-02")), 1)  # an older version, later
     want = [("2024-01-01", "a", 2), ("2024-01-01", "b", 1), ("2024-01-02", "a", 1)]
     assert sorted((r.dt, r.mid, r.v) for r in table.read().collect()) == want
     target = f"{table.path}-compact"
     assert sorted((r.dt, r.mid, r.v) for r in table.compact(target).collect()) == want
-    table.append(make(("b", 7, "2024-01-01")))
+    table.append(make(("b", 7, "2024-01-01")), 3)
     compact = table.compact(target, "2024-01-01")
     assert sorted((r.dt, r.mid, r.v) for r in compact.collect()) == [
         ("2024-01-01", "a", 2), ("2024-01-01", "b", 7), ("2024-01-02", "a", 1),
@@ -162,6 +205,19 @@ def test_upsert_keeps_the_last_write(spark):
     assert table.read("1999-01-01").count() == 0
 
 
+def test_a_batch_write_after_a_stream_is_seen(spark):
+    feed, folder = Feed(spark, "t_both"), run_folder(spark, "t_both")
+    schema = schemas.struct(mid="string", v="bigint", dt="string")
+    table = sinks.DailyTable(spark, f"{folder}/t", schema, "mid")
+    assert table.read().count() == 0
+    feed.add({"mid": "a", "v": 1, "dt": "2024-01-01"}, {"mid": "b", "v": 1, "dt": "2024-01-01"})
+    run.run_to_end(spark, table.stream(from_rows(feed.stream(), schema)), f"{folder}/c")
+    table.append(spark.createDataFrame([("a", 5, "2024-01-01")], schema), 10)
+    assert sorted((r.mid, r.v) for r in table.read().collect()) == [("a", 5), ("b", 1)]
+    plan = table.read("2024-01-01").select("mid")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<mid:string,_row:bigint>" in plan
+
+
 def test_keyed_topics_put_a_key_in_one_partition(spark):
     rows = [("t", f"k{i % 7}", str(i)) for i in range(100)]
     keyed = sinks.keyed(spark.createDataFrame(rows, "topic STRING, key STRING, value STRING"), 3)
@@ -252,16 +308,18 @@ def test_change_topic_to_dashboard(spark):
     run.run_to_end(
         spark, jobs.change_router(feed.stream(), f"{folder}/lists", f"{folder}/facts", store), f"{folder}/c1"
     )
-    latest = store.read()
     stream = lambda topic, schema: from_rows(
         sinks.stream_topic_files(spark, f"{folder}/facts", topic), schema
-    )
-    wide = jobs.order_wide_stream(
+    ).withColumn("timestamp", F.current_timestamp())
+    doubles = {c: "double" for c in schemas.ORDER_WIDE if "amount" in c or "feight" in c or c == "order_price"}
+    longs = {c: "bigint" for c in ("detail_id", "order_id", "sku_id", "sku_num", "province_id", "user_id")} | {"user_age": "int"}
+    wide = schemas.struct(**{c: (doubles | longs).get(c, "string") for c in schemas.ORDER_WIDE})
+    table = sinks.DailyTable(spark, f"{folder}/wide", wide, "detail_id", "create_date")
+    job = jobs.order_job(
         stream(topics.ORDER_INFO, schemas.ORDER_INFO), stream(topics.ORDER_DETAIL, schemas.ORDER_DETAIL),
-        dims.users(latest), dims.provinces(latest), "2024-06-30",
+        lambda: dims.users(store.read()), lambda: dims.provinces(store.read()), table, f"{folder}/alone", "2024-06-30",
     )
-    table = sinks.DailyTable(spark, f"{folder}/wide", wide.schema, "detail_id", "create_date")
-    run.run_to_end(spark, table.stream(wide), f"{folder}/c2", 4)
+    run.run_to_end(spark, job, f"{folder}/c2", 4)
     index = table.compact(f"{folder}/index")
     rows = serving.stats_by_item(index, "ring", "gender", "2024-01-01").collect()
     assert [(r.name, r.value) for r in rows] == [("男", 2.0)]
