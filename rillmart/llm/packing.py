@@ -103,10 +103,12 @@ def pack_documents(
             bin_id=(int(frame["shard"].iloc[0]) << 32) + bins, bin_capacity=final[bins], bin_offset=offsets
         )
 
-    id_type = dict(pieces.dtypes)["doc_id"]
-    schema = f"doc_id {id_type}, piece BIGINT, piece_start BIGINT, piece_tokens BIGINT, bin_id BIGINT, bin_capacity BIGINT, bin_offset BIGINT"
+    schema = "doc_id STRING, piece BIGINT, piece_start BIGINT, piece_tokens BIGINT, bin_id BIGINT, bin_capacity BIGINT, bin_offset BIGINT"
     shard = F.pmod(F.xxhash64("row"), F.lit(shards))
-    return pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(pack_shard, schema)
+    # as text, since pandas has no integer column with nulls
+    dealt = pieces.withColumns({"shard": shard, "doc_id": F.col("doc_id").cast("string")})
+    packed = dealt.groupBy("shard").applyInPandas(pack_shard, schema)
+    return packed.withColumn("doc_id", F.col("doc_id").cast(pieces.schema["doc_id"].dataType))
 
 
 def token_count(tokenizer_file: str, text: Column) -> Column:
