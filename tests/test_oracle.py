@@ -4,10 +4,12 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from rillmart.plans.oracle import oracle_sql
+from rillmart.plans.queries import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = REGISTRY
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,7 @@ def duck():
 
 def test_every_query_has_a_twin():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
