@@ -1,7 +1,7 @@
 """Token-id files: bit-plane shuffled blocks of ids, compressed plane by plane.
 
 A file holds the ids of consecutive documents, cut into blocks of a fixed number of ids. A block's 32-bit ids are
-transposed into planes, 4 of bytes or 32 of bits, most significant first, and each plane is compressed by itself: planes
+transposed into planes, 4 of bytes or 32 of bits, least significant first, and each plane is compressed by itself: planes
 that hardly vary take next to no room. Layout, numbers little-endian:
 
     b"RMTP0001"
@@ -12,15 +12,18 @@ that hardly vary take next to no room. Layout, numbers little-endian:
 ``documents`` lists each document's id (null where it has none) and its number of ids, in order.
 
 Texts are encoded piece by white-space separated piece, which gives the ids of the whole text for vocabularies that drop
-white space and never join across it; each task keeps a bounded table of encoded pieces.
+white space and never join across it; each worker keeps a bounded table of encoded pieces.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -35,9 +38,67 @@ from rillmart.session import run_folder
 HEAD, TAIL = b"RMTP0001", b"RMTPEND1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 24  # a file is closed after the document that passes this many ids
-KEPT_PIECES = 400_000
-PIECE_SPACES = " \t\n\r"  # where texts may be cut
-PARSE_CHARS = 1 << 22  # of text cut into pieces at once
+KEPT_PIECES = 300_000  # of a worker process; as many again from before the last start
+PIECE_SPACES = " \t\n\r"  # where texts are cut
+PARSE_CHARS = 1 << 20  # of text cut into pieces at once
+
+
+# How word_bpe_49k.json cuts normalised text, for text of Latin letters alone; other text goes through the library's own cut.
+LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ɏ0-9²³¹¼-¾]+")
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value, the pattern in the file
+
+
+class _Kept(dict):
+    """Values made on demand. When full, it starts anew and takes back what is asked for again."""
+
+    def __init__(self, make):
+        self.make, self.before = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= KEPT_PIECES:
+            self.before = dict(self)
+            self.clear()
+        found = self.before.get(key)
+        self[key] = found = self.make(key) if found is None else found
+        return found
+
+
+class _Cutter:
+    """Encodes pieces by the steps of ``Tokenizer.encode``, without its offsets."""
+
+    def __init__(self, tokenizer):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        steps = (json.loads(tokenizer.to_str()).get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.latin = steps[0].get("pattern") == {"Regex": CUT} and all(s[:1] == "<" for s in self.specials)
+        self.parts = _Kept(self._part)
+        self.pieces = _Kept(self._piece)
+
+    def _ids(self, cut) -> bytes:
+        return array("I", [t.id for part, _ in cut for t in self.model.tokenize(part)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        # printable ASCII stands for itself
+        if part.isascii() and part.isprintable():
+            return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
+        return self._ids(self.as_bytes(part))
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece:
+            return b""
+        if "<" in piece and any(s in piece for s in self.specials):
+            return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        ascii_only = self.latin and piece.isascii()
+        normal = piece.lower() if ascii_only else self.tokenizer.normalizer.normalize_str(piece)
+        if ascii_only or self.latin and max(normal, default="") <= "ɏ":
+            return b"".join(map(self.parts.__getitem__, LATIN.findall(normal)))
+        return self._ids(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
+
+
+_KNOWN: dict[str, _Cutter] = {}  # by file: a worker that runs more tasks need not encode the same pieces again
 
 
 class PieceEncoder:
@@ -46,22 +107,13 @@ class PieceEncoder:
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.known: dict[str, bytes] = {}
+        if tokenizer_file not in _KNOWN:
+            _KNOWN[tokenizer_file] = _Cutter(Tokenizer.from_file(tokenizer_file))
+        self.known = _KNOWN[tokenizer_file].pieces
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_pieces(text) for text in texts]
-        fresh = set().union(*cut).difference(self.known)
-        if len(self.known) + len(fresh) > KEPT_PIECES:
-            self.known.clear()
-            fresh = set().union(*cut)
-        fresh = list(fresh)
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i : i + 10_000]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(found.ids, dtype="<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        # two more keys make the getter return a tuple for any text
+        return [b"".join(itemgetter("", "", *_pieces(text))(self.known)) for text in texts]
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """As ``encode``, a bounded number of characters at a time; null is empty."""
@@ -82,7 +134,12 @@ class PieceEncoder:
 
 
 def _pieces(text: str) -> list[str]:
-    """Split at ASCII white space only: whether other spaces count is for the tokenizer to say."""
+    """Split at ASCII white space only: whether other spaces count is for the tokenizer to say.
+
+    ASCII text is lower-cased as the tokenizer will do, which makes fewer pieces; not where that could make a special token.
+    """
+    if text.isascii() and "<|" not in text:
+        text = text.lower()
     for c in PIECE_SPACES[1:]:
         text = text.replace(c, " ")
     return list(filter(None, text.split(" ")))
@@ -101,17 +158,19 @@ def _slices(text: str) -> Iterator[str]:
 
 
 def planes_of(ids: np.ndarray, kind: str) -> list[bytes]:
-    if kind == "byte":
-        return [p.tobytes() for p in ids.astype(">u4").view(np.uint8).reshape(-1, 4).T]
-    bits = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
-    return [p.tobytes() for p in np.packbits(bits.T, axis=1)]
+    rows = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
+    if kind == "bit":
+        rows = np.packbits(np.unpackbits(rows, axis=1, bitorder="little"), axis=0)
+    return [plane.tobytes() for plane in rows.T]
 
 
 def ids_of(planes: list[bytes], count: int, kind: str) -> np.ndarray:
-    rows = np.stack([np.frombuffer(p, dtype=np.uint8) for p in planes])
+    rows = np.empty((len(planes[0]), len(planes)), dtype=np.uint8)
+    for n, plane in enumerate(planes):
+        rows[:, n] = np.frombuffer(plane, dtype=np.uint8)
     if kind == "bit":
-        rows = np.packbits(np.unpackbits(rows, axis=1)[:, :count].T, axis=1).T
-    return np.ascontiguousarray(rows.T).view(">u4").reshape(-1).astype("<u4")
+        rows = np.packbits(np.unpackbits(rows, axis=0)[:count], axis=1, bitorder="little")
+    return rows.reshape(-1).view("<u4")
 
 
 class TokenFile:
@@ -119,7 +178,7 @@ class TokenFile:
 
     def __init__(self, stream, kind: str, block_ids: int):
         self.stream, self.kind, self.block_ids = stream, kind, block_ids
-        self.press = zstandard.ZstdCompressor(level=3)
+        self.press = zstandard.ZstdCompressor(level=1)
         self.documents: list[tuple[int | None, int]] = []
         self.blocks: list[tuple[int, int, list[int]]] = []
         self.waiting, self.held, self.n_ids = [], 0, 0
@@ -163,13 +222,13 @@ def read_documents(content: bytes) -> Iterator[tuple[int | None, int, int, int]]
     press = zstandard.ZstdDecompressor()
     index = json.loads(press.decompress(content[-len(TAIL) - 8 - length : -len(TAIL) - 8]))
 
-    def parts() -> Iterator[bytes]:
+    def parts() -> Iterator[memoryview]:
         for at, count, lengths in index["blocks"]:
             planes = []
             for n in lengths:
                 planes.append(press.decompress(content[at : at + n]))
                 at += n
-            yield ids_of(planes, count, index["kind"]).tobytes()
+            yield memoryview(ids_of(planes, count, index["kind"])).cast("B")
 
     blocks, block, used, start = parts(), b"", 0, 0
     for doc_id, count in index["documents"]:
