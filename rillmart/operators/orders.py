@@ -33,7 +33,9 @@ def enrich_headers(
 def unique_by_id(rows: DataFrame) -> DataFrame:
     """One row per id: replayed copies fall away before the join, the latest ``create_time`` stays."""
     rest = [c for c in rows.columns if c not in ("id", "create_time")]
-    return keep_latest(rows, ["id"], ["create_time", *rest])
+    # one hash settles equal times as well as all columns would, and sorts less
+    marked = rows.withColumn("_tie", F.xxhash64(*rest))
+    return keep_latest(marked, ["id"], ["create_time", "_tie"]).drop("_tie")
 
 
 def merge(headers: DataFrame, lines: DataFrame) -> DataFrame:

@@ -355,13 +355,13 @@ def route_error(shop: Shop) -> DataFrame:
 @query
 def has_page(shop: Shop) -> DataFrame:
     rows = logs.normal_records(parsed_logs(shop)).where(logs.has_page())
-    return rows.select(F.col("log.ts").alias("ts"), F.col("log.page.page_id").alias("page_id"))
+    return rows.select(records.long_of(F.col("log.ts")).alias("ts"), F.col("log.page.page_id").alias("page_id"))
 
 
 @query
 def has_start(shop: Shop) -> DataFrame:
     rows = logs.normal_records(parsed_logs(shop)).where(logs.has_start())
-    return rows.select(F.col("log.ts").alias("ts"), F.col("log.start.entry").alias("entry"))
+    return rows.select(records.long_of(F.col("log.ts")).alias("ts"), F.col("log.start.entry").alias("entry"))
 
 
 @query
