@@ -41,10 +41,6 @@ def from_rows(df: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
     return with_parsed(df.select("value", *keep), "r", F.from_json("value", schema)).select("r.*", *keep)
 
 
-def to_json_row(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return df.select(F.to_json(F.struct(*(columns or df.columns))).alias("value"))
-
-
 def common_fields(source: T.StructType, target: T.StructType) -> list[str]:
     """Names that both schemas hold with the same type, in the target's order."""
     types = {f.name: f.dataType for f in source.fields}

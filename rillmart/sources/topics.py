@@ -84,8 +84,3 @@ def from_offsets(records: DataFrame, starting_offsets: dict[int, int]) -> DataFr
     for partition, offset in sorted(starting_offsets.items()):
         keep = keep | ((F.col("partition") == partition) & (F.col("offset") >= offset))
     return records.where(keep)
-
-
-def end_offsets(records: DataFrame) -> DataFrame:
-    """The next offset to read, by topic and partition."""
-    return records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("offset"))
