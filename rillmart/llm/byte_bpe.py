@@ -91,7 +91,10 @@ class BytePairs:
             return F.struct(parts.alias("parts"), ranks.alias("ranks"))
 
         def merge(state: Column, _: Column) -> Column:
-            return _let(F.array_min(state["ranks"]), lambda least: F.when(F.coalesce(least, F.lit(NONE)) >= NONE, state).otherwise(self._merge(tables, state, least)))
+            def step(least: Column) -> Column:
+                return F.when(F.coalesce(least, F.lit(NONE)) >= NONE, state).otherwise(self._merge(tables, state, least))
+
+            return _let(F.array_min(state["ranks"]), step)
 
         folded = _let(parts, lambda p: F.aggregate(places, start(p), merge, lambda state: state["parts"]))
         return F.array_join(folded.cast("array<string>"), " ")

@@ -75,8 +75,9 @@ class LineRuns:
     def strip(self, docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """``docs`` without its repeated lines, but for those of the largest id that holds them.
 
-        All columns stay, but for names with two leading underscores, which are used here; ``text_col`` has the remaining lines, and ``__n_lines``, ``__n_dropped`` are added. Rows are told
-        apart by id and text only, so repeated rows are stripped alike.
+        All columns stay, but for names with two leading underscores, which are used here; ``text_col`` has the remaining
+        lines, and ``__n_lines``, ``__n_dropped`` are added. Rows are told apart by id and text only, so repeated rows are
+        stripped alike.
         """
         t1, t2 = fingerprint(F.coalesce(F.col(text_col), F.lit("")))
         keyed = docs.withColumns({"__id": F.col(id_col), "__t1": t1, "__t2": t2})
@@ -87,7 +88,8 @@ class LineRuns:
         hits = held.join(self.repeated(min_docs), ["h1", "h2"]).where(~F.col("__id").eqNullSafe(F.col("top")))
         gone = hits.groupBy(F.col("__id").alias("__g_id"), F.col("__t1").alias("__g1"), F.col("__t2").alias("__g2"))
         gone = gone.agg(F.collect_set("pos").alias("__gone"))
-        same = (F.col("__t1") == F.col("__g1")) & (F.col("__t2") == F.col("__g2")) & F.col("__id").eqNullSafe(F.col("__g_id"))
+        same = F.col("__id").eqNullSafe(F.col("__g_id"))
+        same = same & (F.col("__t1") == F.col("__g1")) & (F.col("__t2") == F.col("__g2"))
         both = keyed.join(gone, same, "left").withColumn("__lines", _lines(F.col(text_col)))
         stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
         left = F.array_join(F.transform(stay, lambda i: F.get(F.col("__lines"), i)), "\n")

@@ -117,7 +117,8 @@ def nearest(
     )
     rows = rows.where(usable(F.col("vector")))
     # -0.0 and 0.0 are equal, and so are vectors that differ in that alone
-    rows = rows.withColumn("vector", F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x).cast("float")) if dict(vectors.dtypes)[vector_col] == "array<float>" else F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double"))))
+    kind = "float" if dict(vectors.dtypes)[vector_col] == "array<float>" else "double"
+    rows = rows.withColumn("vector", F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x).cast(kind)))
     sizes = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
     schema = "query_id BIGINT, rank INT, id BIGINT, score DOUBLE"
     if sizes is None:
