@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     links, before = written(links, "links"), None
     while True:
         large = _star(_both_ways(links)).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = large.where("a <> b")
         small = _star(large)
         small = small.select("b", "least").union(small.select("a", "least").distinct()).toDF("a", "b")
         links = written(small.where("a <> b").distinct(), "links")

@@ -1,21 +1,22 @@
 """Near duplicates by an LSH forest of MinHash signatures, confirmed on whole shingle sets.
 
 Each distinct shingle set has a label of ``DEPTH`` MinHash values in each of ``TREES`` trees. In a tree, sets are sorted by
-label, and neighbours share the longest prefixes. Candidates are found in two passes:
+label, and neighbours share the longest prefixes. Candidates are found and confirmed in three passes:
 
-1. Neighbours in sorted order. For each set the neighbour with most evidence over the trees is confirmed first, which
-   joins most groups of near copies with about one comparison a set.
-2. All other neighbours, and all pairs that share a region, that is a prefix, but are not yet in one group. A region
-   starts at ``START`` values; one with too many such pairs is split by one value more, as often as needed, so the depth
-   adapts to how crowded a region is. Pairs whose whole signatures differ too much are left out of the confirmation.
+1. Neighbours in the sorted order of the first trees, which joins most groups of near copies with a few comparisons a
+   set.
+2. Neighbours in all trees, where they are in different groups: for each set the most similar ones of other groups.
+3. Pairs that share a region, that is a prefix, but are still in different groups. A region starts at the first of
+   ``DEPTHS``; one with too many such pairs is split by more values, as often as there are depths, so the depth adapts to
+   how crowded a region is.
+
+Pairs whose whole signatures differ too much are left out of the confirmation.
 
 No set of one group is compared with all others of it, and equal sets are one from the start.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -25,9 +26,11 @@ from pyspark.sql import functions as F
 from rillmart.llm.common import fingerprint, written
 from rillmart.llm.components import components
 
-TREES, DEPTH, START = 16, 8, 3
+TREES, DEPTHS = 16, (4, 6, 8)  # a region may have each of these numbers of values; labels have the last
+DEPTH = DEPTHS[-1]
 VALUE = 2  # bytes of a value in a label
-REGION_PAIRS = 2_000  # of different groups that a region may compare before it is split, unless it has the full depth
+FIRST = 2  # trees of the first pass
+REGION_PAIRS = 200  # of different groups that a region may compare before it is split, unless it has the full depth
 KEPT_WORDS = 400_000
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -99,48 +102,55 @@ def _common(a: bytes, b: bytes) -> int:
     return next(i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y) // VALUE
 
 
-def _sorted_trees(sets: DataFrame) -> DataFrame:
-    """tree, label, node, n, before, n_before: each tree's sets in sorted order, with the neighbour before.
+def _sorted_trees(sets: DataFrame, trees: int) -> DataFrame:
+    """tree, label, node, n, group, before, n_before: each tree's sets in sorted order, with the neighbour before.
 
-    A neighbour that shares fewer than two values is left out, and so is a row that has no neighbour then. The first
-    and the last row of a task come out in any case: their neighbours are in other tasks, and their regions will tell.
+    Only neighbours in other groups that share two values or more are given, and rows that share so many with a neighbour
+    on either side. The first and the last row of a task come out in any case: their neighbours are in other tasks, and
+    their regions will tell.
     """
     size = DEPTH * VALUE
-    label = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.substring("labels", t * size + 1, F.lit(size)))
-    trees = sets.select("node", "n", F.posexplode(label).alias("tree", "label"))
+    label = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("labels", t * size + 1, F.lit(size)))
+    rows = sets.select("node", "n", "group", F.posexplode(label).alias("tree", "label"))
 
     def scan(frames):
         last, link, shared, waiting = None, (None, None), 0, []
 
         def out():
-            frame = pd.DataFrame(waiting, columns=["tree", "label", "node", "n", "before", "n_before"])
+            frame = pd.DataFrame(waiting, columns=["tree", "label", "node", "n", "group", "before", "n_before"])
             waiting.clear()
             return frame.astype({"n_before": "Int64"})
 
         for f in frames:
-            for row in zip(f["tree"], f["label"], f["node"], f["n"], strict=True):
+            for row in zip(f["tree"], f["label"], f["node"], f["n"], f["group"], strict=True):
                 now = DEPTH if last is None else _common(last[1], row[1]) if last[0] == row[0] else 0
                 if last is not None and max(shared, now) >= 2:
                     waiting.append((*last, *link))
-                link = (last[2], last[3]) if last is not None and now >= 2 else (None, None)
+                other = last is not None and now >= 2 and last[4] != row[4]
+                link = (last[2], last[3]) if other else (None, None)
                 last, shared = row, now
             yield out()
         if last is not None:
             waiting.append((*last, *link))
         yield out()
 
-    ordered = trees.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-    return ordered.select("tree", "label", "node", "n").mapInPandas(
-        scan, "tree INT, label BINARY, node BINARY, n BIGINT, before BINARY, n_before BIGINT"
+    ordered = rows.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
+    return ordered.select("tree", "label", "node", "n", "group").mapInPandas(
+        scan, "tree INT, label BINARY, node BINARY, n BIGINT, group BINARY, before BINARY, n_before BIGINT"
     )
 
 
+def _neighbours(trees: DataFrame, percent: int) -> DataFrame:
+    near = trees.where(F.col("before").isNotNull() & _could_link("n", "n_before", percent))
+    return near.select(F.least("node", "before").alias("a"), F.greatest("node", "before").alias("b")).distinct()
+
+
 def _could_link(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, alike: the pairs whose signatures do not rule a link out."""
+    """a, b: the pairs whose signatures do not rule a link out."""
     least = percent / 100 - SIGNATURE_SLACK
 
     @F.pandas_udf("double")
@@ -152,14 +162,7 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     labels = sets.select("node", "labels")
     both = pairs.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
-    return both.select("a", "b", alike("la", "lb").alias("alike")).where(F.col("alike") >= least)
-
-
-def _best_of_each(pairs: DataFrame) -> DataFrame:
-    """For each node the pair with its most similar partner."""
-    sides = pairs.select("a", "b", "alike", F.explode(F.array("a", "b")).alias("node"))
-    turn = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("alike"), "a", "b"))
-    return sides.withColumn("turn", turn).where("turn = 1").select("a", "b").distinct()
+    return both.select("a", "b", alike("la", "lb").alias("alike")).where(F.col("alike") >= least).select("a", "b")
 
 
 def _whole_sets(nodes: DataFrame, rows: DataFrame, features: DataFrame, words: int) -> DataFrame:
@@ -191,12 +194,10 @@ def _confirmed(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInPandas(check, "a BINARY, b BINARY")
 
 
-def _region_pairs(trees: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _region_pairs(trees: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of one region but of different groups, at the least depth at which a region has few enough."""
-    members = trees.select("tree", "label", "node", "n").join(groups, "node", "left")
-    members = written(members.withColumn("group", F.coalesce("component", "node")).drop("component"), "regions")
-    found = []
-    for depth in range(START, DEPTH + 1):
+    members, found = trees.select("tree", "label", "node", "n", "group"), []
+    for depth in DEPTHS:
         at = members.withColumn("prefix", F.substring("label", 1, depth * VALUE))
         shares = at.groupBy("tree", "prefix", "group").agg(F.count("*").alias("size"))
         regions = shares.groupBy("tree", "prefix").agg(F.sum("size").alias("all"), F.max(F.struct("size", "group")).alias("main"))
@@ -205,8 +206,11 @@ def _region_pairs(trees: DataFrame, groups: DataFrame, percent: int) -> DataFram
         few = (F.col("all") * F.col("others") <= REGION_PAIRS) | F.lit(depth == DEPTH)
         # every such pair has a member outside the region's main group
         here = at.join(regions.where(few).select("tree", "prefix", "main"), ["tree", "prefix"])
-        left = here.where(F.col("group") != F.col("main")).select("tree", "prefix", F.col("node").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx"))
-        pairs = left.join(here, ["tree", "prefix"]).where((F.col("gx") != F.col("group")) & _could_link("nx", "n", percent))
+        left = here.where(F.col("group") != F.col("main")).select(
+            "tree", "prefix", F.col("node").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx")
+        )
+        once = (F.col("group") == F.col("main")) | (F.col("x") < F.col("node"))
+        pairs = left.join(here, ["tree", "prefix"]).where(once & (F.col("gx") != F.col("group")) & _could_link("nx", "n", percent))
         pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
         found.append(written(pairs, "region_pairs"))
         more = regions.where(~few)
@@ -220,6 +224,27 @@ def _region_pairs(trees: DataFrame, groups: DataFrame, percent: int) -> DataFram
     return out.distinct()
 
 
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs with ends in different groups, ga and gb; a node that is in none is a group by itself."""
+    both = pairs.join(groups.toDF("a", "ga"), "a", "left").join(groups.toDF("b", "gb"), "b", "left")
+    both = both.withColumns({"ga": F.coalesce("ga", "a"), "gb": F.coalesce("gb", "b")})
+    return both.where(F.col("ga") != F.col("gb"))
+
+
+def _grown(groups: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, component with the links added: components of groups rather than of nodes, so that few links are left."""
+    if groups is None:
+        return written(components(links), "groups")
+    joined = written(components(_apart(links, groups).select(F.col("ga").alias("a"), F.col("gb").alias("b"))), "joined_groups")
+    moved = groups.join(joined.toDF("component", "to"), "component", "left")
+    moved = moved.select("node", F.coalesce("to", "component").alias("component"))
+    return written(moved.union(joined.join(groups, "node", "left_anti")), "groups")
+
+
 def _judged(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, r1, r2, n_shingles, component_id for each row; r1 and r2 stand for the row's id and text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -227,26 +252,24 @@ def _judged(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     features = written(_features(rows, words), "features")
     sets = features.where("set_key IS NOT NULL").groupBy(F.col("set_key").alias("node"))
     sets = written(sets.agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("labels").alias("labels")), "sets")
-    trees = written(_sorted_trees(sets), "trees")
 
-    near = trees.where(F.col("before").isNotNull() & _could_link("n", "n_before", percent))
-    near = near.select(F.least("node", "before").alias("a"), F.greatest("node", "before").alias("b")).distinct()
-    near = written(_plausible(near, sets, percent), "neighbours")
-    nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    whole = written(_whole_sets(nodes, rows, features, words), "whole_sets")
-
-    first = written(_confirmed(_best_of_each(near), whole, percent), "links_1")
-    groups = components(first)
-    ga, gb = groups.toDF("a", "ga"), groups.toDF("b", "gb")
-    rest = near.join(ga, "a", "left").join(gb, "b", "left")
-    rest = rest.where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
-    regional = _plausible(_region_pairs(trees, groups, percent), sets, percent).select("a", "b")
-    rest = written(rest.union(regional).distinct(), "pairs_2")
-    more = rest.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(whole, "node", "left_anti")
-    whole = whole.union(written(_whole_sets(more, rows, features, words), "whole_sets"))
-    second = written(_confirmed(rest, whole, percent), "links_2")
-
-    groups = components(first.union(second))
+    first = _sorted_trees(sets.withColumn("group", F.col("node")), FIRST)
+    pairs = written(_plausible(_neighbours(first, percent), sets, percent), "pairs")
+    whole = written(_whole_sets(_nodes(pairs), rows, features, words), "whole_sets")
+    groups = _grown(None, written(_confirmed(pairs, whole, percent), "links"))
+
+    grouped = sets.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    trees = written(_sorted_trees(grouped, TREES), "trees")
+    for region in (False, True):
+        if region:
+            trees = trees.drop("group").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        pairs = _region_pairs(written(trees, "regions"), percent) if region else _neighbours(trees, percent)
+        pairs = written(_plausible(pairs, sets, percent), "pairs")
+        more = written(_nodes(pairs).join(whole, "node", "left_anti"), "nodes")
+        if not more.isEmpty():
+            whole = whole.union(written(_whole_sets(more, rows, features, words), "whole_sets"))
+        groups = _grown(groups, written(_confirmed(pairs, whole, percent), "links"))
+
     named = sets.select("node", "least").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(ids, "component").select(F.col("node").alias("set_key"), "component_id")
@@ -277,7 +300,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80, id_col:
 def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns; one of those that repeat id and text."""
     judged = _judged(docs, words, percent, id_col, text_col)
-    keep = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("r1").alias("__r1"), F.col("r2").alias("__r2")).distinct()
+    keep = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = keep.select(F.col("r1").alias("__r1"), F.col("r2").alias("__r2")).distinct()
     r1, r2 = _row_mark(id_col, F.coalesce(F.col(text_col), F.lit("")))
     turn = F.row_number().over(Window.partitionBy("__r1", "__r2").orderBy(id_col))
     rows = docs.withColumns({"__r1": r1, "__r2": r2}).withColumn("__turn", turn).where("__turn = 1")
