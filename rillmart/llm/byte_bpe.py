@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 NONE = 2**31 - 1  # rank of a pair that does not join
 SAMPLE_ROWS = 20_000  # bound of the texts that frequent words are taken from
-FREQUENT = 1 << 18  # bound of the words that are folded once
+FREQUENT = 1 << 16  # bound of the words that are folded once
 TABLES = "struct<joins:array<array<bigint>>,bytes:array<bigint>,words:array<map<string,string>>,pieces:array<string>>"
 
 
