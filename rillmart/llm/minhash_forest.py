@@ -6,13 +6,13 @@ label, and neighbours share the longest prefixes. Candidates are found and confi
 1. Neighbours in the sorted order of the first trees, which joins most groups of near copies with a few comparisons a
    set.
 2. Neighbours in all trees, where they are in different groups: for each set the most similar ones of other groups.
-3. Pairs that share a region, that is a prefix, but are still in different groups. A region starts at the first of
-   ``DEPTHS``; one with too many such pairs is split by more values, as often as there are depths, so the depth adapts to
-   how crowded a region is.
+3. All pairs that share a region, that is a prefix of ``REGION`` values, but are still in different groups. Those of a
+   region with few such pairs are listed; then the sets of crowded regions are compared in blocks, as products of
+   matrices of sets and shingles.
 
-Pairs whose whole signatures differ too much are left out of the confirmation.
+Listed pairs whose whole signatures differ too much are left out of the confirmation.
 
-No set of one group is compared with all others of it, and equal sets are one from the start.
+No set of a region's main group is compared with all others of it, and equal sets are one from the start.
 """
 
 from __future__ import annotations
@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 from rillmart.llm.common import fingerprint, written
 from rillmart.llm.components import components
 
-TREES, DEPTHS = 16, (4, 6, 8)  # a region may have each of these numbers of values; labels have the last
-DEPTH = DEPTHS[-1]
+TREES, DEPTH = 16, 8
+REGION = 4  # leading values the sets of a region share
 VALUE = 2  # bytes of a value in a label
 FIRST = 2  # trees of the first pass
-REGION_PAIRS = 200  # of different groups that a region may compare before it is split, unless it has the full depth
+REGION_PAIRS = 200  # of different groups that are listed for a region; one with more is compared in blocks
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 20  # about what a block of a crowded region holds at most
+COLUMNS = 4096  # shingles in a matrix at once
 KEPT_WORDS = 400_000
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -178,6 +180,12 @@ def _whole_sets(nodes: DataFrame, rows: DataFrame, features: DataFrame, words: i
     return texts.select("node", "text").mapInPandas(make, "node BINARY, shingles BINARY")
 
 
+def _with_more(whole: DataFrame, nodes: DataFrame, rows: DataFrame, features: DataFrame, words: int) -> DataFrame:
+    """``whole`` with the sets of those of ``nodes`` that it lacks."""
+    more = written(nodes.join(whole, "node", "left_anti"), "nodes")
+    return whole if more.isEmpty() else whole.union(written(_whole_sets(more, rows, features, words), "whole_sets"))
+
+
 def _confirmed(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
 
@@ -194,34 +202,107 @@ def _confirmed(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInPandas(check, "a BINARY, b BINARY")
 
 
-def _region_pairs(trees: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of one region but of different groups, at the least depth at which a region has few enough."""
-    members, found = trees.select("tree", "label", "node", "n", "group"), []
-    for depth in DEPTHS:
-        at = members.withColumn("prefix", F.substring("label", 1, depth * VALUE))
-        shares = at.groupBy("tree", "prefix", "group").agg(F.count("*").alias("size"))
-        regions = shares.groupBy("tree", "prefix").agg(F.sum("size").alias("all"), F.max(F.struct("size", "group")).alias("main"))
-        regions = regions.withColumn("others", F.col("all") - F.col("main.size")).where("others > 0")
-        regions = written(regions.select("tree", "prefix", "all", "others", F.col("main.group").alias("main")), "region_sizes")
-        few = (F.col("all") * F.col("others") <= REGION_PAIRS) | F.lit(depth == DEPTH)
-        # every such pair has a member outside the region's main group
-        here = at.join(regions.where(few).select("tree", "prefix", "main"), ["tree", "prefix"])
-        left = here.where(F.col("group") != F.col("main")).select(
-            "tree", "prefix", F.col("node").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx")
-        )
-        once = (F.col("group") == F.col("main")) | (F.col("x") < F.col("node"))
-        pairs = left.join(here, ["tree", "prefix"]).where(once & (F.col("gx") != F.col("group")) & _could_link("nx", "n", percent))
-        pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        found.append(written(pairs, "region_pairs"))
-        more = regions.where(~few)
-        if depth == DEPTH or more.isEmpty():
-            break
-        members = at.join(more.select("tree", "prefix"), ["tree", "prefix"], "left_semi").select("tree", "label", "node", "n", "group")
-        members = written(members, "regions")
-    out = found[0]
-    for x in found[1:]:
-        out = out.union(x)
-    return out.distinct()
+def _members(trees: DataFrame, groups: DataFrame) -> DataFrame:
+    """tree, prefix, node, n, group: the sets of each tree, their regions and their present groups."""
+    prefix = F.substring("label", 1, REGION * VALUE).alias("prefix")
+    now = trees.select("tree", prefix, "node", "n").join(groups, "node", "left")
+    return now.select("tree", "prefix", "node", "n", F.coalesce("component", "node").alias("group"))
+
+
+def _regions(members: DataFrame) -> DataFrame:
+    """tree, prefix, main, all, others, n_all, n_others of each region with several groups.
+
+    ``main`` is its largest group and others are the sets outside; n_all and n_others are the shingles of the sets.
+    """
+    shares = members.groupBy("tree", "prefix", "group").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+    main = F.max(F.struct("size", "n", "group")).alias("main")
+    regions = shares.groupBy("tree", "prefix").agg(F.sum("size").alias("all"), F.sum("n").alias("n_all"), main)
+    others = {"others": F.col("all") - F.col("main.size"), "n_others": F.col("n_all") - F.col("main.n"), "main": F.col("main.group")}
+    return regions.withColumns(others).where("others > 0")
+
+
+def _is_crowded():
+    return F.col("all") * F.col("others") > REGION_PAIRS
+
+
+def _region_pairs(members: DataFrame, regions: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs of one of ``regions`` but of different groups."""
+    # every such pair has a member outside the region's main group
+    here = members.join(regions.select("tree", "prefix", "main"), ["tree", "prefix"])
+    left = here.where(F.col("group") != F.col("main")).select(
+        "tree", "prefix", F.col("node").alias("x"), F.col("group").alias("gx"), F.col("n").alias("nx")
+    )
+    once = (F.col("group") == F.col("main")) | (F.col("x") < F.col("node"))
+    pairs = left.join(here, ["tree", "prefix"]).where(once & (F.col("gx") != F.col("group")) & _could_link("nx", "n", percent))
+    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
+def common_shingles(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many shingles each of the sets at places ``x`` has in common with each other one at places ``y``."""
+    which = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = many > 1
+    which, column = which[shared[column]], (np.cumsum(shared) - 1)[column[shared[column]]]
+    order = column.argsort(kind="stable")
+    which, column = which[order], column[order]
+    out = np.zeros((len(x), len(y)))
+    for start in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [start, start + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[which[a:b], column[a:b] - start] = 1
+        out += held[x] @ held[y].T
+    return out
+
+
+def _block_links(percent: int):
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        """Of the links between different groups of two blocks, enough to join the same groups as all."""
+        found = []
+        if len(x) and len(y):
+            both = pd.concat([x, y], ignore_index=True)
+            code = pd.factorize(both["group"])[0]
+            place, first = pd.factorize(both["node"])
+            whole = dict(zip(both["node"], both["shingles"], strict=True))
+            sets = [np.frombuffer(whole[node], dtype=np.uint64) for node in first]
+            sizes = np.array([len(s) for s in sets])
+            px, py = place[: len(x)], place[len(x) :]
+            common = common_shingles(sets, px, py)
+            linked = 100 * common >= percent * (sizes[px][:, None] + sizes[py] - common)
+            linked &= code[: len(x)][:, None] != code[len(x) :]
+            joined = list(range(code.max() + 1))
+
+            def top(g):
+                while joined[g] != g:
+                    joined[g] = g = joined[joined[g]]
+                return g
+
+            for i, j in zip(*np.nonzero(linked), strict=True):
+                gx, gy = top(code[i]), top(code[len(x) + j])
+                if gx != gy:
+                    joined[gx] = gy
+                    found.append((first[px[i]], first[py[j]]))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return compare
+
+
+def _crowd_links(members: DataFrame, regions: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that join the different groups of each of ``regions`` as all links between its sets do.
+
+    The sets outside a region's main group are dealt into blocks, and so are all its sets; each block of the one kind
+    meets each of the other.
+    """
+    parts = lambda sets, n: F.greatest(F.ceil(F.col(sets) / BLOCK_SETS), F.ceil(F.col(n) / BLOCK_SHINGLES)).cast("int")
+    dealt = regions.select("tree", "prefix", "main", parts("others", "n_others").alias("ways"), parts("all", "n_all").alias("parts"))
+    here = members.drop("n").join(dealt, ["tree", "prefix"]).join(whole, "node")
+    own = lambda n, seed: F.array(F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    left = here.where(F.col("group") != F.col("main")).withColumn("way", F.explode(own("ways", 1))).withColumn("part", F.explode(every("parts")))
+    right = here.withColumn("way", F.explode(every("ways"))).withColumn("part", F.explode(own("parts", 2)))
+    keys, columns = ["tree", "prefix", "way", "part"], ["node", "group", "shingles"]
+    right = right.select(*keys, *columns).toDF(*keys, *columns)  # columns other than those of left
+    found = left.select(*keys, *columns).groupBy(keys).cogroup(right.groupBy(keys))
+    return found.applyInPandas(_block_links(percent), "a BINARY, b BINARY").distinct()
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
@@ -262,14 +343,23 @@ def _judged(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     trees = written(_sorted_trees(grouped, TREES), "trees")
     for region in (False, True):
         if region:
-            trees = trees.drop("group").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-        pairs = _region_pairs(written(trees, "regions"), percent) if region else _neighbours(trees, percent)
+            members = written(_members(trees, groups), "members")
+            regions = written(_regions(members), "regions")
+            pairs = _region_pairs(members, regions.where(~_is_crowded()), percent)
+        else:
+            pairs = _neighbours(trees, percent)
         pairs = written(_plausible(pairs, sets, percent), "pairs")
-        more = written(_nodes(pairs).join(whole, "node", "left_anti"), "nodes")
-        if not more.isEmpty():
-            whole = whole.union(written(_whole_sets(more, rows, features, words), "whole_sets"))
+        whole = _with_more(whole, _nodes(pairs), rows, features, words)
         groups = _grown(groups, written(_confirmed(pairs, whole, percent), "links"))
 
+    crowds = regions.where(_is_crowded()).select("tree", "prefix")
+    members = written(_members(trees, groups).join(crowds, ["tree", "prefix"], "left_semi"), "members")
+    regions = written(_regions(members), "regions")
+    if not regions.isEmpty():
+        members = members.join(regions.select("tree", "prefix"), ["tree", "prefix"], "left_semi")
+        whole = _with_more(whole, members.select("node").distinct(), rows, features, words)
+        groups = _grown(groups, written(_crowd_links(members, regions, whole, percent), "links"))
+
     named = sets.select("node", "least").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(ids, "component").select(F.col("node").alias("set_key"), "component_id")

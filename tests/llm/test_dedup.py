@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from odd import ascii_lower, documents, nothing, texts
 from oracle import compare, connect
@@ -137,6 +138,42 @@ def test_near_duplicates_around_the_threshold(spark, seed):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == plain_components(rows, 4, 80)
 
 
+def crowded(seed):
+    """One crowd of texts that are no links, in which some have a partner just over the threshold."""
+    rng, rows = random.Random(seed), []
+    word = lambda: f"w{rng.randrange(10**6)}"
+
+    def changed(words, n):
+        copy = list(words)
+        for k in rng.sample(range(len(words) // 4), n):
+            copy[4 * k] = word()
+        return copy
+
+    base = [word() for _ in range(280)]
+    for _ in range(250):
+        one = changed(base, 5)
+        rows += [one, changed(one, 7)]
+    rng.shuffle(rows)
+    return [(n, " ".join(r)) for n, r in enumerate(rows)]
+
+
+def test_links_in_a_crowd_are_all_found(spark, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "BLOCK_SETS", 40)
+    rows = crowded(1)
+    want = plain_components(rows, 4, 80)
+    assert len({c for _, _, c in want}) == 111
+    got = minhash_forest.near_duplicates(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"))
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == want
+
+
+def test_common_shingles_by_columns(monkeypatch):
+    monkeypatch.setattr(minhash_forest, "COLUMNS", 3)
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 40, n).astype(np.uint64)) for n in (5, 30, 1, 12)]
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in (0, 2)] for i in (3, 1)]
+    assert minhash_forest.common_shingles(sets, np.array([3, 1]), np.array([0, 2])).tolist() == want
+
+
 def test_near_duplicates_of_odd_documents(spark):
     rows = [(i, t) for i, t, _ in texts()]
     got = minhash_forest.near_duplicates(documents(spark), words=5).collect()
