@@ -97,8 +97,8 @@ def _entries(vectors: DataFrame, keep: int) -> DataFrame:
     """h1, h2, vector, ids of each different vector; of its ids the ``keep`` smallest, which are all a result can need."""
     h1, h2 = fingerprint(F.col("vector"))
     turn = Window.partitionBy("h1", "h2").orderBy("id")
-    ranked = vectors.select("id", "vector", h1.alias("h1"), h2.alias("h2")).withColumn("turn", F.row_number().over(turn))
-    ranked = ranked.where(F.col("turn") <= keep)
+    ranked = vectors.select("id", "vector", h1.alias("h1"), h2.alias("h2")).distinct()  # a repeated row takes one place
+    ranked = ranked.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= keep)
     return ranked.groupBy("h1", "h2").agg(F.first("vector").alias("vector"), F.array_sort(F.collect_set("id")).alias("ids"))
 
 

@@ -80,6 +80,14 @@ def test_odd_vectors_ties_and_copies(spark):
     assert multi_index.nearest(df, F.lit(False)).count() == 0
 
 
+def test_a_repeated_row_hides_no_other_id(spark):
+    rows = [(1, [1.0, 2.0])] * 25 + [(i, [1.0, 2.0]) for i in (2, 3, 4, 4, 4)] + [(9, [2.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    found = multi_index.nearest(df, F.col("vec_id").isin(1, 9), target=1.0).collect()
+    got = {q: [r.id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in (1, 9)}
+    assert got == {1: [2, 3, 4, 9], 9: [1, 2, 3, 4]}
+
+
 def test_heap_visits_pairs_by_rising_distance():
     rng = np.random.default_rng(3)
     a, b = rng.random(7), rng.random(5)
