@@ -2,8 +2,9 @@
 
 A run is a sorted table of line hashes, each with the number of documents that hold the line and the largest id among
 them. Each batch of documents writes one run of its own; when a level holds ``fanout`` runs they are merged into one run
-of the next level, so that a batch is rewritten only a logarithmic number of times. Documents are then stripped by
-a merge anti-join of their lines with the runs.
+of the next level, so that a batch is rewritten only a logarithmic number of times. A batch is not anti-joined with the
+runs: counts and largest ids need its known lines too. Documents are then stripped by a join of their lines with the
+repeated ones.
 """
 
 from __future__ import annotations
