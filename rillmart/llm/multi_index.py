@@ -93,6 +93,16 @@ def _best(scores: np.ndarray, keep: int) -> np.ndarray:
     return np.nonzero(scores >= np.partition(scores, len(scores) - keep)[len(scores) - keep])[0]
 
 
+def _best_ids(scores: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarray:
+    """Places of the largest of a row that hold ``keep`` different ids, and of all that tie with the last of them."""
+    many = keep
+    while True:
+        at = _best(scores, many)
+        if len(at) == len(scores) or len(set().union(*ids[at])) >= keep:
+            return at
+        many *= 2
+
+
 def _entries(vectors: DataFrame, keep: int) -> DataFrame:
     """h1, h2, vector, ids of each different vector; of its ids the ``keep`` smallest, which are all a result can need."""
     h1, h2 = fingerprint(F.col("vector"))
@@ -188,16 +198,17 @@ def nearest(
             ids = e["ids"].to_numpy()
             for n, (a, b, js) in enumerate(zip(q["h1"], q["h2"], q["js"], strict=True)):
                 at = np.nonzero(np.isin(e_cells, js))[0]
-                at = at[_best(scores[n, at], k + 1)]
+                at = at[_best_ids(scores[n, at], ids[at], k + 1)]
                 found += [(a, b, ids[x], scores[n, x]) for x in at]
         return pd.DataFrame(found, columns=["h1", "h2", "ids", "score"])
 
     found = left.groupBy("i", "part", "turn").cogroup(right.groupBy("i", "part", "turn"))
     found = found.applyInPandas(score, "h1 BIGINT, h2 BIGINT, ids ARRAY<BIGINT>, score DOUBLE")
     order = [F.desc("score"), F.col("id")]
-    best = found.select("h1", "h2", "score", F.explode("ids").alias("id"))
+    best = found.select("h1", "h2", "score", F.explode("ids").alias("id")).groupBy("h1", "h2", "id").agg(F.max("score").alias("score"))
     best = best.withColumn("turn", F.row_number().over(Window.partitionBy("h1", "h2").orderBy(*order))).where(F.col("turn") <= k + 1)
     mine = best.drop("turn").join(askers.withColumnRenamed("id", "query_id"), ["h1", "h2"]).where("id <> query_id")
+    mine = mine.groupBy("query_id", "id").agg(F.max("score").alias("score"))  # a query id may stand on several vectors
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
     return mine.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
@@ -211,16 +222,24 @@ def _needed(indexed: DataFrame, queries: DataFrame, books: Codebooks, counts: np
 
     def scan(frames):
         for f in frames:
-            i, j = f["i"].to_numpy(), f["j"].to_numpy()
+            i, j, ids = f["i"].to_numpy(), f["j"].to_numpy(), f["ids"].to_numpy()
             for start in range(0, len(f), BLOCK_ENTRIES):
                 scores = products(asked, _stack(f["vector"].iloc[start : start + BLOCK_ENTRIES]))
                 for n in range(len(asked)):
-                    at = _best(scores[n], k + 1)[: 4 * k]
-                    yield pd.DataFrame({"n": n, "i": i[start + at], "j": j[start + at], "score": scores[n, at]})
-
-    found = indexed.select("vector", "i", "j").mapInPandas(scan, "n INT, i INT, j INT, score DOUBLE")
-    turn = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("score"), "i", "j"))
-    true = found.withColumn("turn", turn).where(F.col("turn") <= k + 1).toPandas()
+                    at, held, some = _best_ids(scores[n], ids[start : start + BLOCK_ENTRIES], k + 1), set(), []
+                    for x in at[(-scores[n, at]).argsort(kind="stable")]:
+                        if len(held) > k:
+                            break
+                        if not held.issuperset(ids[start + x]):
+                            held.update(ids[start + x])
+                            some.append(x)
+                    at = np.array(some, dtype=int)
+                    yield pd.DataFrame({"n": n, "i": i[start + at], "j": j[start + at], "ids": ids[start + at], "score": scores[n, at]})
+
+    found = indexed.select("vector", "ids", "i", "j").mapInPandas(scan, "n INT, i INT, j INT, ids ARRAY<BIGINT>, score DOUBLE")
+    found = found.select("n", F.explode("ids").alias("id"), F.struct("score", "i", "j").alias("best")).groupBy("n", "id").agg(F.max("best").alias("best"))
+    turn = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("best.score"), "id"))
+    true = found.withColumn("turn", turn).where(F.col("turn") <= k + 1).select("n", "best.i", "best.j").toPandas()
     a, b = books.distances(asked)
     need = []
     for n, part in true.groupby("n"):

@@ -88,6 +88,15 @@ def test_a_repeated_row_hides_no_other_id(spark):
     assert got == {1: [2, 3, 4, 9], 9: [1, 2, 3, 4]}
 
 
+def test_ids_on_many_vectors_leave_room_for_others(spark):
+    rows = [(1, [10.0 + n, 1.0]) for n in range(12)] + [(2, [9.0, 1.0 + n]) for n in range(12)]
+    rows += [(i, [1.0 + i / 10, 0.5]) for i in range(3, 9)]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    found = multi_index.nearest(df, F.col("vec_id") == 1, k=4, target=1.0).orderBy("rank").collect()
+    assert [(r["rank"], r.id) for r in found] == [(1, 2), (2, 8), (3, 7), (4, 6)]
+    assert found[0].score == 21.0 * 9 + 12 and found[1].score == 21 * 1.8 + 0.5
+
+
 def test_heap_visits_pairs_by_rising_distance():
     rng = np.random.default_rng(3)
     a, b = rng.random(7), rng.random(5)
