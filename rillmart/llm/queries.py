@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmart.llm import byte_bpe, exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters
+from rillmart.llm import byte_bpe, exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters, vector_codes
 from rillmart.llm.common import UPPER, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,43 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(pairs.decode(F.col("token_ids")), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, folder, "embeddings"))[0]
+
+
+_SQUARES = "list_sum(list_transform(range(1, 9), lambda i: (p.part[i] - c.part[i]) * (p.part[i] - c.part[i])))"
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Each round as two tables: every part's nearest entry (distance * 256 + entry), and the codebooks after it."""
+    assigned = "SELECT vec_id, label, p.pos, p.part, min({d} * 256 + c.e) AS f FROM p JOIN c{n} c ON p.pos = c.pos GROUP BY ALL"
+    sums = "SELECT pos, f % 256 AS e, i, sum(part[i]) AS s, count(*) AS n FROM a{n}, range(1, 9) t(i) GROUP BY ALL"
+    means = "SELECT pos, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS part FROM ({sums}) GROUP BY ALL"
+    steps = []
+    for n in range(rounds):
+        steps.append(f"a{n} AS MATERIALIZED ({assigned.format(d=_SQUARES, n=n)})")
+        new = means.format(sums=sums.format(n=n))
+        steps.append(
+            f"c{n + 1} AS MATERIALIZED (SELECT c.pos, c.e, coalesce(m.part, c.part) AS part"
+            f" FROM c{n} c LEFT JOIN ({new}) m ON c.pos = m.pos AND c.e = m.e)"
+        )
+    return ",\n".join([*steps, f"a{rounds} AS MATERIALIZED ({assigned.format(d=_SQUARES, n=rounds)})"])
+
+
+SQL["op12_vector_codes"] = f"""
+WITH base AS (SELECT vec_id, label, embedding FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, label, pos,
+  list_transform(embedding[pos * 8 + 1:pos * 8 + 8], lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS part FROM base, range(8) t(pos)),
+c0 AS MATERIALIZED (SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS e, part FROM p
+  WHERE vec_id IN (SELECT vec_id FROM base ORDER BY vec_id LIMIT 16)),
+{_lloyd_sql(6)},
+r AS (SELECT vec_id, label, string_agg(printf('%02x', f % 256), '' ORDER BY pos) AS code, CAST(sum(f // 256) AS BIGINT) AS error
+  FROM a6 GROUP BY ALL)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(part[i] AS VARCHAR), ',' ORDER BY pos, e, i)) FROM c6, range(1, 9) t(i)) AS codebooks_sha256
+FROM r
+"""
