@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmart.llm import byte_bpe, exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters, vector_codes
+from rillmart.llm import byte_bpe, conversation_repair, exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters, vector_codes
 from rillmart.llm.common import UPPER, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,9 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
   (SELECT sha256(string_agg(CAST(part[i] AS VARCHAR), ',' ORDER BY pos, e, i)) FROM c6, range(1, 9) t(i)) AS codebooks_sha256
 FROM r
 """
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    hurt = conversation_repair.damage(table(spark, folder, "conversations"))
+    return conversation_repair.repair_reports(hurt, present=F.col("present"))
