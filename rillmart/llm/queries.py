@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmart.llm import byte_bpe, conversation_repair, exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters, vector_codes
+from rillmart.llm import byte_bpe, conversation_repair, cover_tree, exact_dedup, language_id, line_dedup, minhash_forest, multi_index, packing, token_files, toxicity, url_filters, vector_codes
 from rillmart.llm.common import UPPER, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,6 +148,24 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, folder, "embeddings"))
+
+
+SQL["op11_near_vectors"] = """
+WITH RECURSIVE u AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+r(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.b FROM r JOIN l ON r.y = l.a),
+c AS (SELECT x, min(y) AS least FROM r GROUP BY x),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least AS component_id, vec_id = least AS kept
+FROM embeddings LEFT JOIN c ON vec_id = x LEFT JOIN n ON vec_id = a
+"""
+
+
 @query
 def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, folder, "embeddings"))[0]
