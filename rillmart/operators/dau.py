@@ -53,6 +53,8 @@ def dau_wide(
 
 
 def not_yet_stored(first: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows whose ``(dt, mid)`` the daily index does not hold: the dedup state rebuilt from the index."""
-    seen = stored.select("dt", "mid").distinct()
-    return first.join(seen, ["dt", "mid"], "left_anti")
+    """Rows whose ``(dt, mid)`` the daily index does not hold: the dedup state rebuilt from the index.
+
+    ``stored`` need only be of the days of ``first``.
+    """
+    return first.join(stored.select("dt", "mid"), ["dt", "mid"], "left_anti")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from rillmart.operators.dims import dim_latest, keep_latest
+from rillmart.operators.dims import dim_latest, dim_table
 from rillmart.schemas import struct
 from rillmart.sources.topics import kafka_sink_options
+from rillmart.streaming.log_table import LogTable, part_folder
 
 TOPIC_VALUE = struct(topic="string", value="string")
 KEYED_VALUE = struct(topic="string", key="string", value="string", partition="int")
@@ -64,49 +66,47 @@ def stream_topic_files(spark: SparkSession, path: str, topic: str) -> DataFrame:
 
 
 class DailyTable:
-    """A table with one partition per day in which a later write of an id replaces the earlier one.
-
-    Writes only append, each into a folder named by its source and version; the
-    same source and version written again replace what they wrote before. Of the
-    rows of a ``(day, id)``, reads keep the one with the highest version, then
-    source, then place in its write. Streams and batches may write the same
-    table. ``compact`` writes the kept rows to a plain table that readers can
-    scan without the dedup.
-    """
+    """A table with one part per day in which a later write of an id replaces the earlier one.
 
-    STAMPS = {"_version": "bigint", "_source": "string", "_row": "bigint"}
+    Streams and batches may write the same table. Of the rows of a ``(day, id)``, reads keep the one with the highest version,
+    then source, then place in its write. The same source and version written again replace what they wrote before. After
+    ``fold_every`` writes the days they touched are compacted in place, under whoever reads them (``LogTable``). A read of some
+    days lists only their folders.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, doc_id: str, day: str = "dt"):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, doc_id: str, day: str = "dt", fold_every: int = 100
+    ):
         self.spark, self.path, self.schema, self.doc_id, self.day = spark, path, schema, doc_id, day
+        self.log = LogTable(spark, path, schema, [day], [doc_id], fold_every=fold_every)
 
     def append(self, df: DataFrame, version: int, source: str = "batch") -> None:
-        """One write. Rebalancing by day keeps files large, and splits a day that is large."""
-        rows = df.select(*self.schema.fieldNames()).hint("rebalance", F.col(self.day))
-        rows = rows.withColumn("_row", F.monotonically_increasing_id())
-        target = f"{self.path}/_version={version}/_source={source}"
-        rows.write.mode("overwrite").partitionBy(self.day).parquet(target)
+        self.log.append(df, version, source)
 
     def stream(self, df: DataFrame, first_version: int = 0, source: str = "stream") -> DataStreamWriter:
         """Each micro-batch is one write, so a batch that is replayed replaces itself."""
         return df.writeStream.foreachBatch(lambda batch, n: self.append(batch, first_version + n, source))
 
-    def writes(self) -> DataFrame:
-        """Every write, replaced or not; no rows before the first."""
-        schema = T.StructType([*self.schema.fields, *struct(**self.STAMPS).fields])
-        try:
-            return self.spark.read.schema(schema).parquet(self.path)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def read(self, day: str | None = None) -> DataFrame:
-        writes = self.writes() if day is None else self.writes().where(F.col(self.day) == day)
-        latest = keep_latest(writes, [self.day, self.doc_id], list(self.STAMPS))
-        return latest.select(*self.schema.fieldNames())
-
-    def compact(self, target: str, day: str | None = None) -> DataFrame:
-        """Write the kept rows to ``target``, replacing only the days written; returns it."""
+    def writes(self, days: Iterable[str | None] | None = None) -> DataFrame:
+        """Every current write, with rows that others replace; of all days or of some. No rows before the first."""
+        if days is None:
+            return self.log.writes()
+        days = sorted(set(days), key=str)
+        named = [d for d in days if d is not None]
+        wanted = F.col(self.day).isin(named)
+        if len(named) < len(days):
+            wanted = wanted | F.col(self.day).isNull()
+        return self.log.writes([(d,) for d in days]).where(wanted)
+
+    def read(self, day: str | None = None, days: Iterable[str | None] | None = None) -> DataFrame:
+        wanted = days if day is None else [day]
+        return self.log.latest(self.writes(wanted)).select(*self.schema.fieldNames())
+
+    def compact(self, target: str | None = None, day: str | None = None) -> DataFrame:
+        """Compact in place, all days or one; or with a ``target`` write the kept rows there, replacing only the days written."""
+        if target is None:
+            self.log.fold(None if day is None else [part_folder([self.day], [day])])
+            return self.read(day)
         (
             self.read(day)
             .hint("rebalance", F.col(self.day))
@@ -120,61 +120,68 @@ class DailyTable:
 
 # ---- dimensions ------------------------------------------------------------------
 
+BUCKETS = 32  # parts of a dimension, by hash of the id
+FEW_IDS = 1000  # ids that a lookup names in its filter; more of them are joined
+
 
 class DimensionStore:
-    """All dimension rows by table; the latest version of an id is what readers see.
+    """All dimension rows by table and bucket of the id; the latest version of an id is what readers see.
 
-    Batches are appended below the current base. After ``compact_every`` batches
-    the writer makes a snapshot of the latest rows, the next base: readers scan
-    one snapshot and the batches after it. A base becomes current by a one-row
-    write once it is whole, so readers never see half of it.
+    Each batch of a change stream is one write; a replayed batch replaces itself, or is skipped once a snapshot includes it.
+    After ``compact_every`` batches the buckets they touched get a snapshot of the latest rows; other buckets stay as they are
+    (``LogTable``). A lookup of some ids reads only their buckets and ranks only their rows.
     """
 
-    def __init__(self, spark: SparkSession, path: str, compact_every: int = 100):
-        if compact_every < 1:
-            raise ValueError("compact_every must be at least 1")
-        self.spark, self.path, self.compact_every = spark, path, compact_every
-
-    def _base(self) -> int:
-        """The batch the newest snapshot includes; -1 before the first."""
-        try:
-            found = self.spark.read.schema("base BIGINT").parquet(f"{self.path}/current").agg(F.max("base")).first()[0]
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            found = None
-        return -1 if found is None else found
+    def __init__(self, spark: SparkSession, path: str, compact_every: int = 100, buckets: int = BUCKETS):
+        if compact_every < 1 or buckets < 1:
+            raise ValueError("compact_every and buckets must be at least 1")
+        self.spark, self.path, self.buckets = spark, path, buckets
+        schema = T.StructType([*DIM_RECORD.fields, *struct(bucket="int").fields])
+        self.log = LogTable(
+            spark, path, schema, ["table_name", "bucket"], ["id"], ["version", "op", "data"], compact_every, in_order=True
+        )
+
+    def _bucket(self, identity: Column) -> Column:
+        return F.pmod(F.xxhash64(identity), F.lit(self.buckets)).cast("int")
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Write one batch; writing it again replaces it, or does nothing once a snapshot includes it."""
-        base = self._base()
-        if batch_id <= base:
-            return
-        self._put(rows, base, batch_id)
-        if batch_id - base >= self.compact_every:
-            self.compact(batch_id)
-
-    def _put(self, rows: DataFrame, base: int, batch: int) -> None:
-        rows = rows.select(*DIM_RECORD.fieldNames())
-        rows.write.mode("overwrite").partitionBy("table_name").parquet(f"{self.path}/base={base}/batch={batch}")
+        rows = rows.select(*DIM_RECORD.fieldNames()).withColumn("bucket", self._bucket(F.col("id")))
+        self.log.append(rows, batch_id, "changes")
 
     def writes(self) -> DataFrame:
-        """The current snapshot and the batches after it; no rows before the first write."""
-        schema = T.StructType([*DIM_RECORD.fields, T.StructField("batch", T.LongType())])
-        try:
-            found = self.spark.read.schema(schema).parquet(f"{self.path}/base={self._base()}")
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            found = self.spark.createDataFrame([], schema)
-        return found.select(*DIM_RECORD.fieldNames())
+        """The current snapshots and the batches after them; no rows before the first write."""
+        return self.log.writes().select(*DIM_RECORD.fieldNames())
 
     def read(self, drop_deleted: bool = False) -> DataFrame:
         """The rows as of now; a running job that calls this in each batch sees new ones."""
         return dim_latest(self.writes(), drop_deleted)
 
-    def compact(self, batch_id: int) -> None:
-        """Make the latest rows, up to and with batch ``batch_id``, the new base. Older bases stay for their readers."""
-        self._put(self.read(), batch_id, batch_id)
-        current = self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("base"))
-        current.write.mode("append").parquet(f"{self.path}/current")
+    def lookup(self, table: str, ids: DataFrame, drop_deleted: bool = False) -> DataFrame:
+        """The rows of some ids, as of now. ``ids`` has them as its first column, repeated or null as may be."""
+        asked = ids.select(F.col(ids.columns[0]).cast("string").alias("id")).where("id IS NOT NULL").distinct()
+        few = [r[0] for r in asked.limit(FEW_IDS + 1).collect()]
+        if len(few) > FEW_IDS:
+            buckets = [r[0] for r in asked.select(self._bucket(F.col("id"))).distinct().collect()]
+        else:
+            buckets = [r[0] for r in self.spark.createDataFrame([(i,) for i in few], "id STRING").select(self._bucket(F.col("id"))).distinct().collect()]
+        found = self.log.writes([(table, b) for b in buckets]).where(F.col("table_name") == table)
+        # the filter comes before the ranking; a short one reaches the files
+        found = found.where(F.col("id").isin(few)) if len(few) <= FEW_IDS else found.join(asked, "id", "left_semi")
+        return dim_latest(found.select(*DIM_RECORD.fieldNames()), drop_deleted)
+
+    def table(self, name: str, schema: T.StructType) -> DimensionLookup:
+        return DimensionLookup(self, name, schema)
+
+    def compact(self, batch_id: int | None = None) -> None:
+        """Make the latest rows of all buckets that have changed their new snapshots, now."""
+        self.log.fold()
+
+
+class DimensionLookup:
+    """One dimension of a store, for jobs: the typed rows of the ids that a batch asks for."""
+
+    def __init__(self, store: DimensionStore, name: str, schema: T.StructType):
+        self.store, self.name, self.schema = store, name, schema
+
+    def of(self, ids: DataFrame) -> DataFrame:
+        return dim_table(self.store.lookup(self.name, ids), self.name, self.schema)

@@ -1,0 +1,239 @@
+"""Tables of many writes: what is listed, what a reader sees meanwhile, folds, replays, and lookups by key."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillmart import schemas
+from rillmart.operators import dau, dims
+from rillmart.session import run_folder
+from rillmart.streaming import jobs, run, sinks
+from rillmart.streaming.log_table import LogTable, part_folder
+
+SCHEMA = schemas.struct(mid="string", v="bigint", dt="string")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(spark, *values):
+    return spark.createDataFrame(list(values), SCHEMA)
+
+
+def daily(spark, name, **more):
+    return sinks.DailyTable(spark, f"{run_folder(spark, name)}/t", SCHEMA, "mid", **more)
+
+
+def kept(table, **days):
+    return sorted((r.dt, r.mid, r.v) for r in table.read(**days).collect())
+
+
+def folders(df):
+    return {re.search(r"/data/(.*)/[^/]*$", f).group(1) for f in df.inputFiles()}
+
+
+def test_a_day_lists_its_own_folders_only(spark):
+    table = daily(spark, "t_days", fold_every=1000)
+    for n in range(6):
+        table.append(rows(spark, ("a", n, f"2024-01-0{n % 3 + 1}")), n)
+    read = table.read("2024-01-02")
+    assert len(folders(read)) == 2 and all(f.startswith("dt=2024-01-02/write=") for f in folders(read))
+    # the index of files was made from two folders, not found in all
+    assert "InMemoryFileIndex(2 paths)" in plan_of(read)
+    assert re.search(r"PartitionFilters: \[[^\]]*2024-01-02", plan_of(read))
+    assert kept(table, day="2024-01-02") == [("2024-01-02", "a", 4)] and kept(table, day="1999-01-01") == []
+    assert kept(table, days=["2024-01-03", "2024-01-01"]) == [("2024-01-01", "a", 3), ("2024-01-03", "a", 5)]
+
+
+def test_a_fold_leaves_live_readers_alone(spark):
+    table = daily(spark, "t_fold", fold_every=4)
+    for n in range(3):
+        table.append(rows(spark, ("a", n, "2024-01-01"), (f"m{n}", n, "2024-01-01"), ("a", n, f"2024-02-0{n + 1}")), n)
+    before, listed = table.read(), table.writes()
+    want = kept(table)
+    assert listed.count() == 9
+    table.append(rows(spark, ("a", 9, "2024-01-01")), 3)  # the fourth write folds
+    assert table.log.generation() == 1
+    assert sorted((r.dt, r.mid, r.v) for r in before.collect()) == want  # a reader from before still finds its files
+    after = [("2024-01-01", "a", 9) if r[:2] == ("2024-01-01", "a") else r for r in want]
+    assert kept(table) == after
+    # a day with several folders is one now, others were left alone
+    assert len(folders(table.writes(["2024-01-01"]))) == 1 and "fold-" in "".join(folders(table.writes(["2024-01-01"])))
+    assert "fold-" not in "".join(folders(table.writes(["2024-02-01"])))
+    again = sinks.DailyTable(spark, table.path, SCHEMA, "mid")  # another process finds the same
+    assert kept(again) == after and again.log.generation() == 1
+
+
+def test_the_log_stays_short(spark):
+    table = daily(spark, "t_short", fold_every=3)
+    for n in range(14):
+        table.append(rows(spark, (f"m{n % 2}", n, "2024-01-01")), n)
+    assert table.log.generation() == 4
+    assert sinks.DailyTable(spark, table.path, SCHEMA, "mid").log.generation() == 4
+    assert len(table.log._rows(4)) <= 3 * 3 + 3
+    assert len(folders(table.writes())) <= 3
+    assert kept(table) == [("2024-01-01", "m0", 12), ("2024-01-01", "m1", 13)]
+
+
+def test_a_write_that_comes_late_is_kept(spark):
+    """A writer that began before a fold commits after it; the next fold takes its rows in."""
+    table = daily(spark, "t_late", fold_every=1000)
+    table.append(rows(spark, ("a", 1, "2024-01-01")), 1)
+    table.append(rows(spark, ("b", 1, "2024-01-01")), 2)
+    slow = table.log._put(rows(spark, ("c", 1, "2024-01-01")).withColumns({"_version": F.lit(3).cast("bigint"), "_source": F.lit("s"), "_row": F.lit(0).cast("bigint")}), "3-s-x")
+    log = spark.createDataFrame([("write", "3-s-x", 3, "s", 1, slow)], "kind STRING, write STRING, version BIGINT, source STRING, at BIGINT, parts ARRAY<STRING>")
+    table.compact()
+    assert table.log.generation() == 1
+    log.coalesce(1).write.json(f"{table.path}/log/gen=0/writes/3-s-x")
+    want = [("2024-01-01", m, 1) for m in "abc"]
+    assert kept(table) == want
+    table.compact()
+    assert table.log.generation() == 2 and kept(table) == want and len(folders(table.writes())) == 1
+    table.log._commit("3-s-x", 3, "s", slow)  # the same once more changes nothing
+    assert kept(table) == want
+
+
+def test_a_failed_write_is_not_seen_and_a_replay_replaces(spark):
+    table = daily(spark, "t_replay")
+    table.append(rows(spark, ("a", 1, "2024-01-01"), ("b", 1, "2024-01-01")), 1, "stream")
+    # what a write leaves that fails before its commit
+    table.log._put(rows(spark, ("z", 1, "2024-01-01")).withColumns({"_version": F.lit(2).cast("bigint"), "_source": F.lit("stream"), "_row": F.lit(0).cast("bigint")}), "2-stream-lost")
+    assert kept(table) == [("2024-01-01", "a", 1), ("2024-01-01", "b", 1)]
+    first = table.read()
+    table.append(rows(spark, ("a", 1, "2024-01-01")), 1, "stream")
+    assert kept(table) == [("2024-01-01", "a", 1)] and table.writes().count() == 1
+    assert first.count() == 2  # and whoever listed the first try still reads it
+    table.append(rows(spark, ("a", 7, "2024-01-01")), 1, "batch")
+    assert table.writes().count() == 2
+    table.append(rows(spark).where("false"), 5)
+    assert table.writes().count() == 2
+
+
+def test_odd_parts(spark):
+    schema = schemas.struct(id="string", a="string", b="int")
+    table = LogTable(spark, f"{run_folder(spark, 't_odd')}/t", schema, ["a", "b"], ["id"])
+    odd = ["x y", "a/b", "k=v", "100%", "ü", None, "t:1", "{q}", "#h?", "'\"", "a\\b", "*^[]"]
+    table.append(spark.createDataFrame([(str(i), x, i % 2 or None) for i, x in enumerate(odd)], schema), 1)
+    for i, x in enumerate(odd):
+        found = table.writes([(x, i % 2 or None)]).collect()
+        assert [(r.id, r.a, r.b) for r in found] == [(str(i), x, i % 2 or None)]
+    assert table.writes().count() == len(odd) and table.writes([("none", 1)]).count() == 0
+    assert part_folder(["a", "b"], ["x/y", None]) == "a=x%2Fy/b=__HIVE_DEFAULT_PARTITION__"
+    table.append(spark.createDataFrame([(str(i), x, i % 2 or None) for i, x in enumerate(odd)], schema), 2)
+    table.fold()
+    assert table.latest(table.writes()).count() == table.writes().count() == len(odd)
+
+
+def test_in_order_skips_what_a_fold_has_taken(spark):
+    table = LogTable(spark, f"{run_folder(spark, 't_order')}/t", SCHEMA, ["dt"], ["mid"], fold_every=2, in_order=True)
+    for n in range(5):
+        table.append(rows(spark, ("a", n, "2024-01-01")), n, "s")
+    assert table.generation() == 2
+    table.append(rows(spark, ("b", 3, "2024-01-01")), 3, "s")
+    table.append(rows(spark, ("c", 3, "2024-01-01")), 3, "other")
+    assert sorted(r.mid for r in table.latest(table.writes()).collect()) == ["a", "c"]
+
+
+def test_a_bad_number_of_writes(spark):
+    with pytest.raises(ValueError):
+        daily(spark, "t_bad", fold_every=0)
+
+
+# ---- the state of the daily dedup -----------------------------------------------------------------
+
+
+def test_the_state_is_rebuilt_from_the_days_of_the_batch(spark):
+    folder = run_folder(spark, "t_rebuild")
+    schema = schemas.struct(**{c: "bigint" if c in ("ts", "during_time") else "string" for c in schemas.DAU_INFO})
+    table = sinks.DailyTable(spark, f"{folder}/dau", schema, "mid")
+    blank = {c: F.lit(None).cast(schema[c].dataType) for c in schemas.DAU_INFO}
+    for n in range(4):
+        day = spark.range(5).select(*[c.alias(name) for name, c in (blank | {"mid": F.col("id").cast("string"), "dt": F.lit(f"2024-01-0{n + 1}")}).items()])
+        table.append(day, n, "batch")
+    asked = []
+    plain = table.writes
+
+    def writes(days=None):
+        found = plain(days)
+        asked.append((days, plan_of(found), folders(found)))
+        return found
+
+    table.writes = writes
+    start = 1704153600000  # 2024-01-02
+    known = {
+        "mid": F.col("id").cast("string"), "user_id": F.lit("1"), "province_id": F.lit("1"),
+        "ts": F.lit(start) + F.col("id") % 2 * 86400000, "timestamp": F.timestamp_seconds(F.lit(1706745600)),
+    }
+    layout = [*[(name, kind) for name, _, kind in schemas.PAGE_LOG], ("timestamp", "timestamp")]
+    views = spark.range(8).select(*[known.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in layout])
+    views.coalesce(1).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(views.schema).parquet(f"{folder}/in")
+    users = lambda: spark.createDataFrame([], schemas.USER_INFO)
+    provinces = lambda: spark.createDataFrame([], schemas.BASE_PROVINCE)
+    run.run_to_end(spark, jobs.dau_job(stream, users, provinces, table, "2024-06-30"), f"{folder}/c", 2)
+    days, plan, listed = next(x for x in asked if x[0])
+    assert sorted(days) == ["2024-01-02", "2024-01-03"]
+    assert {f.split("/")[0] for f in listed} == {"dt=2024-01-02", "dt=2024-01-03"}
+    filters = " ".join(re.findall(r"PartitionFilters: \[[^\]]*\]", plan))
+    assert "2024-01-02" in filters and "2024-01-03" in filters
+    assert all(d is not None for d, _, _ in asked)
+    # five devices were known on each day; of the eight in the batch three are new
+    assert sorted((r.dt, r.mid) for r in plain().where("_source = 'stream'").collect()) == [("2024-01-02", "6"), ("2024-01-03", "5"), ("2024-01-03", "7")]
+    assert dau.not_yet_stored(spark.createDataFrame([("2024-01-01", "0"), ("2024-01-01", "9")], "dt STRING, mid STRING"), plain(["2024-01-01"])).count() == 1
+
+
+# ---- dimensions by key -----------------------------------------------------------------------------
+
+
+def users_batch(spark, ids, version, gender="F"):
+    return spark.createDataFrame(
+        [("user_info", str(i), f"k{i}", "U", version, f'{{"id":{i},"gender":"{gender}","birthday":"2000-01-01"}}') for i in ids], sinks.DIM_RECORD
+    )
+
+
+def test_a_lookup_reads_its_buckets_and_ranks_its_ids(spark):
+    store = sinks.DimensionStore(spark, f"{run_folder(spark, 't_keyed')}/dims", buckets=64)
+    store.append(users_batch(spark, range(2000), 1), 0)
+    store.append(users_batch(spark, range(0, 2000, 3), 2, "M"), 1)
+    ids = spark.createDataFrame([(i,) for i in [3, 7, 9, 9, 500, None, 99999]], "user_id BIGINT")
+    found = store.lookup("user_info", ids)
+    plan = plan_of(found)
+    assert sorted((int(r.id), r.version) for r in found.collect()) == [(3, 2), (7, 1), (9, 2), (500, 1)]
+    buckets = {f.split("/")[1] for f in folders(found)}
+    assert len(buckets) <= 5 and len(folders(store.writes())) > 64
+    # from the scan upwards: the filter on the ids, which reaches the files, and only then the ranking
+    assert "PushedFilters: [In(id," in plan
+    assert plan.index("WindowGroupLimit") < plan.index("Filter id#") < plan.index("FileScan")
+    assert "Exchange" not in plan[plan.index("Filter id#") :]
+
+
+def test_a_long_lookup_joins_its_ids_before_it_ranks(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "FEW_IDS", 10)
+    store = sinks.DimensionStore(spark, f"{run_folder(spark, 't_many')}/dims", buckets=4)
+    store.append(users_batch(spark, range(300), 1), 0)
+    store.append(users_batch(spark, range(300), 2), 1)
+    found = store.lookup("user_info", spark.range(50))
+    plan = plan_of(found)
+    assert plan.index("Window") < plan.index("LeftSemi")
+    assert sorted(int(r.id) for r in found.collect()) == list(range(50)) and {r.version for r in found.collect()} == {2}
+    typed = store.table("user_info", schemas.USER_INFO).of(spark.range(50))
+    assert typed.count() == 50 and typed.schema == schemas.USER_INFO
+    assert store.table("base_province", schemas.BASE_PROVINCE).of(spark.range(50)).count() == 0
+
+
+def test_a_snapshot_rewrites_touched_buckets_only(spark):
+    store = sinks.DimensionStore(spark, f"{run_folder(spark, 't_touched')}/dims", compact_every=3, buckets=8)
+    store.append(users_batch(spark, range(200), 1), 0)
+    store.append(users_batch(spark, [5], 2, "M"), 1)
+    before = folders(store.log.writes())
+    store.append(users_batch(spark, [5, 6], 3, "M"), 2)
+    after = folders(store.log.writes())
+    made = {f.split("/write=")[0] for f in after - before}
+    touched = {f.split("/write=")[0] for f in before if "1-changes" in f} | {f.split("/write=")[0] for f in folders(store.log.writes()) if "fold-" in f}
+    assert 1 <= len(made) <= 2 and made <= touched and len(after) == 8
+    assert store.read().count() == 200 and store.writes().count() == 200
+    assert sorted((r.id, r.version) for r in store.lookup("user_info", spark.createDataFrame([("5",), ("6",)], "i STRING")).collect()) == [("5", 3), ("6", 3)]
+    joined = dims.join_user(spark.createDataFrame([(1, 5), (2, 7), (3, None)], "n INT, user_id BIGINT"), store.table("user_info", schemas.USER_INFO).of(spark.range(10)), "2024-06-30")
+    assert sorted((r.n, r.user_gender) for r in joined.collect() if r.user_gender) == [(1, "M"), (2, "F")]

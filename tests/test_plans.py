@@ -66,7 +66,7 @@ def test_no_cross_join_and_no_python(spark, name):
 def test_a_day_reads_its_partition_only(spark):
     schema = schemas.struct(mid="string", v="bigint", dt="string")
     table = sinks.DailyTable(spark, f"{run_folder(spark, 't_prune')}/t", schema, "mid")
-    table.append(spark.createDataFrame([("a", 1, "2024-01-01"), ("a", 1, "2024-01-02")], schema))
+    table.append(spark.createDataFrame([("a", 1, "2024-01-01"), ("a", 1, "2024-01-02")], schema), version=1)
     scan = nodes(table.read("2024-01-02"), "FileScan")
     assert len(scan) == 1 and re.search(r"PartitionFilters: \[[^\]]*2024-01-02", scan[0])
 

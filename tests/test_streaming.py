@@ -215,7 +215,7 @@ def test_a_batch_write_after_a_stream_is_seen(spark):
     table.append(spark.createDataFrame([("a", 5, "2024-01-01")], schema), 10)
     assert sorted((r.mid, r.v) for r in table.read().collect()) == [("a", 5), ("b", 1)]
     plan = table.read("2024-01-01").select("mid")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<mid:string,_row:bigint>" in plan
+    assert "ReadSchema: struct<mid:string,_version:bigint,_source:string,_row:bigint>" in plan
 
 
 def test_keyed_topics_put_a_key_in_one_partition(spark):
