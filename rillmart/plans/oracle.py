@@ -403,6 +403,8 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT '1999-01-01', count(*) FROM dau WHERE dt = '1999-01-01'""",
         "dim_join_user": f"""WITH {_INFO}, {_USERS} SELECT i.id, user_id, gender AS user_gender, {_AGE} AS user_age
           FROM info i LEFT JOIN users u ON i.user_id = u.id""",
+        "dim_lookup_user": f"""WITH {_INFO}, {_USERS} SELECT i.id, user_id, gender AS user_gender, {_AGE} AS user_age
+          FROM info i LEFT JOIN users u ON i.user_id = u.id WHERE substr(i.create_time, 1, 10) = '{DAY}'""",
         "dim_join_province": f"""WITH {_INFO}, {_PROVINCES} SELECT i.id, province_id, name AS province_name,
           iso_code AS province_iso_code, iso_3166_2 AS province_3166_2_code, area_code AS province_area_code
           FROM info i LEFT JOIN provinces p ON i.province_id = p.id""",

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillmart import schemas
 from rillmart.functions import labels, records, text, time
@@ -14,6 +15,7 @@ from rillmart.operators import changes, dau, dims, logs, orders, reports, servin
 from rillmart.session import apply_settings, run_folder
 from rillmart.sources import shop_views as views
 from rillmart.sources import topics
+from rillmart.sources.segments import SegmentTopics
 from rillmart.sources.shop_views import Shop
 from rillmart.sources.tables import stream_table
 from rillmart.streaming import jobs, run, sinks
@@ -110,7 +112,17 @@ def src_topic(shop: Shop) -> DataFrame:
 
 @query
 def src_topic_from_offsets(shop: Shop) -> DataFrame:
-    return _copied_topic(shop, "src_topic_from_offsets", topics.from_offsets(log_stream(shop), STARTING_OFFSETS))
+    """The log topic as segments; the stream seeks the given offsets and opens no file before them."""
+    store = SegmentTopics(shop.spark, f"{run_folder(shop.spark, 'src_topic_from_offsets')}/topics")
+    store.append(shop.log_topic(), 0)
+    return _copied_topic(shop, "src_topic_from_offsets", store.stream(topics.ODS_LOG, STARTING_OFFSETS))
+
+
+def _stored(shop: Shop, name: str, rows: DataFrame) -> DataFrame:
+    """The rows computed once, for queries that need them several times."""
+    folder = run_folder(shop.spark, name)
+    rows.write.parquet(folder)
+    return shop.spark.read.schema(rows.schema).parquet(folder)
 
 
 def _arriving(shop: Shop, name: str, rows: DataFrame, file: Column | None = None, hours: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
@@ -121,12 +133,13 @@ def _arriving(shop: Shop, name: str, rows: DataFrame, file: Column | None = None
     folder = run_folder(shop.spark, name)
     rows = rows.drop("timestamp")
     mark = F.pmod(F.xxhash64(*rows.columns), F.lit(len(hours))) if file is None else file
-    dealt = rows.withColumn("_file", mark.cast("int"))
+    rows.withColumn("_file", mark.cast("int")).write.partitionBy("_file").parquet(f"{folder}/dealt")
+    dealt = shop.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_file", T.IntegerType())])).parquet(f"{folder}/dealt")
     for number, hour in enumerate(hours):
         here = dealt.where(F.col("_file") == number).drop("_file")
         here = here.withColumn("timestamp", F.timestamp_seconds(F.lit(ARRIVALS + hour * 3600)))
-        here.write.mode("append").parquet(folder)
-    return shop.spark.readStream.schema(here.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        here.write.mode("append").parquet(f"{folder}/topic")
+    return shop.spark.readStream.schema(here.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic")
 
 
 def _increments(shop: Shop, name: str) -> Iterator[tuple[int, DataFrame]]:
@@ -193,24 +206,25 @@ def sink_topics_keyed(shop: Shop) -> DataFrame:
     return rows.select("topic", "key", "value")
 
 
-def _dau_table(shop: Shop, name: str) -> sinks.DailyTable:
-    return sinks.DailyTable(shop.spark, f"{run_folder(shop.spark, name)}/dau", dau_index(shop).schema, "mid")
+def _dau_table(shop: Shop, name: str, fold_every: int = 100) -> sinks.DailyTable:
+    return sinks.DailyTable(shop.spark, f"{run_folder(shop.spark, name)}/dau", dau_index(shop).schema, "mid", fold_every=fold_every)
 
 
 @query
 def sink_upsert_daily(shop: Shop) -> DataFrame:
-    """A stream writes rows with stale values, a batch corrects them and is then replayed; every id is there once."""
-    table, folder = _dau_table(shop, "sink_upsert_daily"), run_folder(shop.spark, "sink_upsert_daily")
-    rows = dau_index(shop).withColumn("province_name", F.lit("stale"))
-    stream = _arriving(shop, "sink_upsert_daily", rows)
+    """A stream writes rows with stale values and its days are compacted; a batch corrects them and is replayed: every id is there once."""
+    table, folder = _dau_table(shop, "sink_upsert_daily", fold_every=3), run_folder(shop.spark, "sink_upsert_daily")
+    index = _stored(shop, "sink_upsert_daily", dau_index(shop))
+    stream = _arriving(shop, "sink_upsert_daily", index.withColumn("province_name", F.lit("stale")))
     run.run_to_end(shop.spark, table.stream(stream), f"{folder}/checkpoint")
     for _ in range(2):
-        table.append(dau_index(shop), version=1000)
+        table.append(index, version=1000)
     return table.read()
 
 
 @query
 def scan_index_field(shop: Shop) -> DataFrame:
+    """One field of one day; only that day's folders are listed."""
     table = _dau_table(shop, "scan_index_field")
     table.append(dau_index(shop), version=1)
     return serving.scan_field(table.read(DAY), "mid", DAY)
@@ -390,9 +404,8 @@ def day_partition(shop: Shop) -> DataFrame:
     """One day of a table partitioned by day, and a day that is not there."""
     table = _dau_table(shop, "day_partition")
     table.append(dau_index(shop), version=1)
-    index = table.read()
-    there = serving.dau_total(index, DAY)
-    missing = serving.dau_total(index, "1999-01-01")
+    there = serving.dau_total(table.read(DAY), DAY)
+    missing = serving.dau_total(table.read("1999-01-01"), "1999-01-01")
     return there.union(missing)
 
 
@@ -406,6 +419,26 @@ def dim_join_user(shop: Shop) -> DataFrame:
     )
 
 
+def _dimension_store(shop: Shop, name: str, buckets: int = sinks.BUCKETS) -> sinks.DimensionStore:
+    """Users and provinces in a keyed store."""
+    store = sinks.DimensionStore(shop.spark, f"{run_folder(shop.spark, name)}/dims", buckets=buckets)
+    rows = lambda table, df: df.select(
+        F.lit(table).alias("table_name"), F.col("id").cast("string").alias("id"), labels.dim_key(F.lit(table), F.col("id").cast("string")).alias("key"),
+        F.lit("I").alias("op"), F.lit(1).cast("bigint").alias("version"), F.to_json(F.struct("*")).alias("data"),
+    )
+    store.append(rows("user_info", shop.user_info()).union(rows("base_province", shop.base_province())), 0)
+    return store
+
+
+@query
+def dim_lookup_user(shop: Shop) -> DataFrame:
+    """The orders of one day look up their users in a keyed store, which reads and ranks these users only."""
+    store = _dimension_store(shop, "dim_lookup_user")
+    info = shop.order_info().where(time.create_date(F.col("create_time")) == DAY)
+    users = store.table("user_info", schemas.USER_INFO).of(info.select("user_id"))
+    return dims.join_user(info, users, AS_OF).select("id", "user_id", "user_gender", "user_age")
+
+
 @query
 def dim_join_province(shop: Shop) -> DataFrame:
     return dims.join_province(shop.order_info(), shop.base_province()).select(
@@ -533,11 +566,13 @@ def dau_dedup_stream(shop: Shop) -> DataFrame:
 def dau_state_rebuild(shop: Shop) -> DataFrame:
     """The index holds the days before DAY; a rerun over all days adds only the rest."""
     first = dau.first_of_day(dau.with_day_hour(dau.session_starts(page_log_view(shop))))
+    first = _stored(shop, "dau_state_rebuild", first)
     table = sinks.DailyTable(
         shop.spark, f"{run_folder(shop.spark, 'dau_state_rebuild')}/dau", first.schema, "mid"
     )
     table.append(first.where(F.col("dt") < DAY), version=1)
-    return dau.not_yet_stored(first, table.writes()).select("dt", "mid", "ts")
+    days = [r[0] for r in first.select("dt").distinct().collect()]  # the batch's own days; no other is read
+    return dau.not_yet_stored(first, table.writes(days)).select("dt", "mid", "ts")
 
 
 @query

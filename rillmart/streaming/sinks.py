@@ -11,8 +11,9 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from rillmart.operators.dims import dim_latest, dim_table
 from rillmart.schemas import struct
+from rillmart.sources.segments import SegmentTopics
 from rillmart.sources.topics import kafka_sink_options
-from rillmart.streaming.log_table import LogTable, part_folder
+from rillmart.streaming.log_table import LogTable, exists, part_folder
 
 TOPIC_VALUE = struct(topic="string", value="string")
 KEYED_VALUE = struct(topic="string", key="string", value="string", partition="int")
@@ -54,11 +55,16 @@ def kafka_topics(routed: DataFrame, servers: str, with_key: bool = False) -> Dat
 
 
 def read_topic_files(spark: SparkSession, path: str, schema: T.StructType = TOPIC_VALUE) -> DataFrame:
+    """What a topic sink has written; of topics with a manifest, what is committed."""
+    if exists(spark, f"{path}/manifest"):
+        return SegmentTopics(spark, path).read()
     return spark.read.schema(schema).parquet(path)
 
 
 def stream_topic_files(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """One topic of a topic sink as the next job's stream."""
+    """One topic of a topic sink as the next job's stream; topics with a manifest come with offsets and times."""
+    if exists(spark, f"{path}/manifest"):
+        return SegmentTopics(spark, path).stream(topic)
     return spark.readStream.schema(TOPIC_VALUE).parquet(path).where(F.col("topic") == topic)
 
 
