@@ -416,6 +416,9 @@ def oracle_sql() -> dict[str, str]:
           FROM info i JOIN detail d ON d.order_id = i.id""",
         "state_ttl_24h": f"""WITH {_INFO}, {_DETAIL} SELECT DISTINCT d.id AS detail_id, d.order_id, d.create_time
           FROM info i JOIN detail d ON d.order_id = i.id WHERE d.id % 7 <> 0""",
+        "order_waiting_join": f"""WITH {_INFO}, {_DETAIL} SELECT DISTINCT d.id AS detail_id, d.order_id, d.create_time
+          FROM info i JOIN detail d ON d.order_id = i.id
+          WHERE i.id % 10 < 2 OR EXISTS (SELECT 1 FROM detail later WHERE later.order_id = i.id AND later.id % 3 <> 0)""",
         "order_wide": f"WITH {_WIDE_ONCE} SELECT * FROM wide",
         "order_wide_stream": f"WITH {_WIDE_ONCE} SELECT * FROM wide",
         "orphan_orders": f"""WITH {_INFO}, {_DETAIL}

@@ -19,6 +19,7 @@ from rillmart.sources.segments import SegmentTopics
 from rillmart.sources.shop_views import Shop
 from rillmart.sources.tables import stream_table
 from rillmart.streaming import jobs, run, sinks
+from rillmart.streaming.waiting import waiting_join
 
 AS_OF = "2024-06-30"  # ages are as of this day, so that runs repeat
 DAY = "2024-01-15"  # day of the single-day queries
@@ -482,6 +483,16 @@ def state_ttl_24h(shop: Shop) -> DataFrame:
     return dims.keep_latest(_run_to_files(shop, "state_ttl_24h", joined), ["detail_id"], ["create_time"])
 
 
+@query
+def order_waiting_join(shop: Shop) -> DataFrame:
+    """Lines arrive 0 and 20 hours after the start, most headers after 30: the later lines of an order keep its first ones waiting."""
+    headers = F.when(F.col("id") % 10 < 2, F.col("id") % 10).otherwise(2)
+    info = _arriving(shop, "order_waiting_join-info", shop.order_info(), headers, (0, 20, 30))
+    detail = _arriving(shop, "order_waiting_join-detail", shop.order_detail(), F.when(F.col("id") % 3 == 0, 0).otherwise(1), (0, 20))
+    joined = waiting_join(info, detail).select("detail_id", "order_id", "create_time")
+    return dims.keep_latest(_run_to_files(shop, "order_waiting_join", joined), ["detail_id"], ["create_time"])
+
+
 @query
 def order_wide(shop: Shop) -> DataFrame:
     return orders.order_wide(
