@@ -3,7 +3,8 @@
 The dashboard asks for these by name and number of days; what each measure
 means is settled here. A visit starts with a page view that has no page before
 it and lasts until the device's next such view; it bounces when it has a single
-page view, and takes its attributes from its first. Every other report first sums by its finest key, so a hot
+page view, and takes its attributes from its first. Views without a device or a user count as views, never as a device or a
+user. Every other report first sums by its finest key, so a hot
 device or order shrinks to one row per task before any shuffle.
 """
 
@@ -44,31 +45,42 @@ def uv_by_day(views: DataFrame) -> DataFrame:
 
 
 def visit_total(views: DataFrame) -> DataFrame:
-    """``(pv_count, uv_count, new_count)`` in one row."""
+    """``(pv_count, uv_count, new_count)`` in one row; views that name no device are views, but no device."""
     devices = views.groupBy("mid").agg(F.count("*").alias("pv"), F.max((F.col("is_new") == "1").cast("int")).alias("new"))
     return devices.agg(
         F.coalesce(F.sum("pv"), F.lit(0)).alias("pv_count"),
-        F.count("*").alias("uv_count"),
-        F.coalesce(F.sum("new"), F.lit(0)).alias("new_count"),
+        F.count("mid").alias("uv_count"),
+        F.coalesce(F.sum(F.when(F.col("mid").isNotNull(), F.col("new"))), F.lit(0)).alias("new_count"),
     )
 
 
+SLICE_MS = 60_000  # views of a device within one such slice of time are put in order by one task
+
+
 def sessions(views: DataFrame) -> DataFrame:
     """Views with ``session``, the number of visits the device has started so far.
 
-    The running count is made within each day of a device and then raised by
-    the counts of its earlier days, so that a long history is many short
-    windows; views before a device's first start are session 0.
+    A prefix sum in two levels: the running count is made within each slice of time of a device, and raised by the counts of
+    its earlier slices, of which there is one small row each. So no task puts a whole device in order, be it a hot one or the
+    views that name none. Views before a device's first start are session 0. Views of one millisecond are told apart by
+    one hash of all that they hold.
     """
+    starts = F.count_if(F.col("last_page_id").isNull())
+    cut = views.withColumn("_slice", F.floor(F.col("ts") / SLICE_MS))
     rest = [c for c in views.columns if c not in ("mid", "dt", "ts")]
-    day = Window.partitionBy("mid", "dt").orderBy("ts", *rest).rowsBetween(Window.unboundedPreceding, 0)
-    counted = views.withColumn("_today", F.count_if(F.col("last_page_id").isNull()).over(day))
-    days = views.groupBy("mid", "dt").agg(F.count_if(F.col("last_page_id").isNull()).alias("_starts"))
-    earlier = Window.partitionBy("mid").orderBy("dt").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("mid", "dt", F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_before"))
-    same = F.col("mid").eqNullSafe(F.col("_mid")) & F.col("dt").eqNullSafe(F.col("_dt"))
-    both = counted.join(days.withColumnsRenamed({"mid": "_mid", "dt": "_dt"}), same)
-    return both.withColumn("session", F.col("_today") + F.col("_before")).select(*views.columns, "session")
+    here = Window.partitionBy("mid", "dt", "_slice").orderBy("ts", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    counted = cut.withColumn("_tie", F.xxhash64(*rest)).withColumn("_here", starts.over(here)).drop("_tie")
+    slices = cut.groupBy("mid", "dt", "_slice").agg(starts.alias("_starts"))
+    earlier = Window.partitionBy("mid").orderBy("dt", "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = slices.select(
+        F.col("mid").alias("_mid"), F.col("dt").alias("_dt"), F.col("_slice").alias("_its_slice"),
+        F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_before"),
+    )
+    same = F.lit(True)
+    for name, its in (("mid", "_mid"), ("dt", "_dt"), ("_slice", "_its_slice")):
+        same = same & F.col(name).eqNullSafe(F.col(its))
+    both = counted.join(before, same)
+    return both.withColumn("session", F.col("_here") + F.col("_before")).select(*views.columns, "session")
 
 
 def visits(views: DataFrame, *by: str) -> DataFrame:
@@ -95,7 +107,7 @@ def new_vs_old(views: DataFrame) -> DataFrame:
     total = F.sum("visits")
     return devices.groupBy("is_new").agg(
         F.sum("pages").alias("pv"),
-        F.count("*").alias("uv"),
+        F.count("mid").alias("uv"),
         (F.sum("bounced") / total).alias("bounce_rate"),
         (F.sum("millis") / 1000 / total).alias("mean_seconds"),
         (F.sum("pages") / total).alias("mean_pages"),
@@ -125,11 +137,11 @@ def page_path_nodes(views: DataFrame) -> DataFrame:
 
 
 def action_funnel(views: DataFrame, actions: DataFrame, steps: dict[str, tuple[str, str]]) -> DataFrame:
-    """``(step, users)``: users who reached each step, a ``("page", id)`` seen or an ``("action", id)`` done."""
+    """``(step, users)``: users who reached each step, a ``("page", id)`` seen or an ``("action", id)`` done. Null is no user."""
     seen = views.select("user_id", F.lit("page").alias("kind"), F.col("page_id").alias("id"))
     done = actions.select("user_id", F.lit("action").alias("kind"), F.col("action_id").alias("id"))
     tests = [(F.col("kind") == kind) & (F.col("id") == name) for kind, name in steps.values()]
-    reached = seen.union(done).groupBy("user_id").agg(
+    reached = seen.union(done).where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         *[F.max(F.coalesce(test, F.lit(False)).cast("int")).alias(f"_{i}") for i, test in enumerate(tests)]
     )
     counts = reached.agg(*[F.coalesce(F.sum(f"_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(steps))])

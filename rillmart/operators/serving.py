@@ -70,7 +70,13 @@ def dau_realtime(dau: DataFrame, day: str | None = None) -> DataFrame:
     source = dau
     if day is not None:
         source = dau.where(F.col("dt").isin(day, _shift(day, -1)))
-    hourly = dau_by_hour(source)
+    return realtime_of_hours(dau_by_hour(source), day)
+
+
+def realtime_of_hours(hourly: DataFrame, day: str | None = None) -> DataFrame:
+    """``dau_realtime`` from ``(dt, hr, cnt)``, one row an hour."""
+    if day is not None:
+        hourly = hourly.where(F.col("dt").isin(day, _shift(day, -1)))
 
     def row(td: Column, series: str, hr: Column, cnt: Column) -> Column:
         return F.struct(td.alias("td"), F.lit(series).alias("series"), hr.alias("hr"), cnt.alias("cnt"))
@@ -85,7 +91,7 @@ def dau_realtime(dau: DataFrame, day: str | None = None) -> DataFrame:
     )
     parts = hourly.select(F.explode(rows).alias("row")).select("row.*")
     if day is not None:
-        empty = dau.sparkSession.range(1).select(
+        empty = hourly.sparkSession.range(1).select(
             F.lit(day).alias("td"), F.lit("total").alias("series"), no_hour.alias("hr"), zero.alias("cnt")
         )
         parts = parts.where(F.col("td") == day).union(empty)
@@ -142,6 +148,17 @@ def stats_by_item(wide: DataFrame, item_name: str, kind: str, day: str | None =
     return age_buckets(amounts) if kind == "age" else gender_amounts(amounts)
 
 
+ITEM_GROUPS = ["create_date", "sku_name", "user_gender", "user_age"]  # what the statistics of an item ask for
+
+
+def stats_of_rollup(rolled: DataFrame, item_name: str, kind: str, day: str | None = None) -> DataFrame:
+    """``stats_by_item`` from sums by ``ITEM_GROUPS``, ``(n, amount)``: a few rows for each name and day instead of all lines."""
+    field = stat_field(kind)
+    found = hits(rolled, item_name, day).where(F.col(field).isNotNull()).groupBy("create_date", F.col(field).alias("key"))
+    amounts = found.agg(F.sum("n").alias("n"), F.sum("amount").cast("double").alias("amount"))
+    return age_buckets(amounts) if kind == "age" else gender_amounts(amounts)
+
+
 # ---- order detail search --------------------------------------------------------------
 
 
@@ -152,6 +169,18 @@ def paginate(rows: DataFrame, order: list[Column], page_no: int = 1, page_size:
     return rows.orderBy(*order).offset((page_no - 1) * page_size).limit(page_size)
 
 
+def page_after(rows: DataFrame, cursor: tuple[str, int] | None, page_size: int = PAGE_SIZE) -> DataFrame:
+    """The page after the row with this ``(create_time, detail_id)``, newest first; from the start without one.
+
+    Any page is a top-k of its own size, however deep it is; on rows that are stored by time the filter skips all before.
+    """
+    if cursor is not None:
+        created, detail = cursor
+        after = (F.col("create_time") == created) & (F.col("detail_id") > detail)
+        rows = rows.where((F.col("create_time") <= created) & ((F.col("create_time") < created) | after))
+    return rows.orderBy(*newest_first()).limit(page_size)
+
+
 def newest_first() -> list[Column]:
     return [F.desc("create_time"), F.col("detail_id")]
 
@@ -180,3 +209,10 @@ def detail_by_item(
     page = paginate(found.select(*schemas.DETAIL_COLUMNS, "detail_id"), newest_first(), page_no, page_size)
     marked = page.withColumn("sku_name", highlight(F.col("sku_name"), item_name))
     return DetailPage(detail_total(wide, item_name, day), detail_fields(marked))
+
+
+def detail_with_total(page: DetailPage) -> DataFrame:
+    """The rows of the page, each with the total; of an empty page one row with nothing but the total."""
+    rows = page.detail.agg(F.collect_list(F.struct("*")).alias("rows"))  # a page of bounded size
+    each = rows.select(F.explode_outer("rows").alias("row"))
+    return each.select("row.*", page.total.select("total").scalar().alias("total"))

@@ -443,6 +443,10 @@ def oracle_sql() -> dict[str, str]:
         "dau_state_rebuild": f"WITH {_FIRST} SELECT dt, mid, ts FROM first WHERE dt >= '{DAY}'",
         "paginate": f"""WITH {_INFO}, {_DETAIL} SELECT d.id AS detail_id, d.create_time, d.order_id
           FROM detail d JOIN info i ON d.order_id = i.id ORDER BY d.create_time DESC, d.id LIMIT 20 OFFSET 40""",
+        "paginate_after": f"""WITH {_INFO}, {_DETAIL} SELECT d.id AS detail_id, d.create_time, d.order_id
+          FROM detail d JOIN info i ON d.order_id = i.id ORDER BY d.create_time DESC, d.id LIMIT 20 OFFSET 40""",
+        "paginate_deep": f"""WITH {_INFO}, {_DETAIL} SELECT d.id AS detail_id, d.create_time, d.order_id
+          FROM detail d JOIN info i ON d.order_id = i.id ORDER BY d.create_time DESC, d.id LIMIT 20 OFFSET 3980""",
         "detail_total": f"WITH {_WIDE} SELECT create_date, count(*) AS total FROM wide WHERE {_HIT} GROUP BY create_date",
         "ts_to_dt_hr": f"WITH {_PAGES} SELECT mid, ts, {_DAY_HOUR} FROM page_log",
         "split_create_time": f"""WITH {_INFO} SELECT id, substr(create_time, 1, 10) AS create_date,
@@ -458,11 +462,18 @@ def oracle_sql() -> dict[str, str]:
           SELECT id, 'age' AS kind, 'user_age' AS field, CAST({_AGE} AS VARCHAR) AS value FROM users
           UNION ALL SELECT id, 'gender', 'user_gender', gender FROM users""",
         "dau_realtime": f"WITH {_REALTIME} SELECT td, series, hr, CAST(cnt AS BIGINT) AS cnt FROM parts",
+        "dau_realtime_rolled": f"WITH {_REALTIME} SELECT td, series, hr, CAST(cnt AS BIGINT) AS cnt FROM parts",
         "dau_realtime_day": f"""WITH {_REALTIME} SELECT td, series, hr, CAST(cnt AS BIGINT) AS cnt FROM parts
           WHERE td = '{DAY}'""",
         "stats_by_item": f"""WITH {_WIDE} SELECT create_date,
           CASE user_gender WHEN 'F' THEN '女' WHEN 'M' THEN '男' ELSE user_gender END AS name,
           round(sum(split_total_amount), 4) AS value FROM wide WHERE {_HIT} GROUP BY ALL""",
+        "stats_by_item_rolled": f"""WITH {_WIDE} SELECT create_date,
+          CASE user_gender WHEN 'F' THEN '女' WHEN 'M' THEN '男' ELSE user_gender END AS name,
+          round(sum(split_total_amount), 4) AS value FROM wide WHERE {_HIT} GROUP BY ALL""",
+        "detail_empty_page": f"""WITH {_WIDE} SELECT {_DETAIL_COLUMNS}, total
+          FROM (SELECT count(*) AS total FROM wide WHERE create_date = '{DAY}' AND {_HIT})
+          LEFT JOIN (SELECT {_DETAIL_COLUMNS} FROM wide WHERE false) ON true""",
         "stats_by_item_age": f"WITH {_AMOUNTS} {_BUCKETS}",
         "detail_by_item": f"""WITH {_WIDE}, found AS (
             SELECT * FROM wide WHERE create_date = '{DAY}' AND {_HIT})

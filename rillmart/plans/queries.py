@@ -18,7 +18,7 @@ from rillmart.sources import topics
 from rillmart.sources.segments import SegmentTopics
 from rillmart.sources.shop_views import Shop
 from rillmart.sources.tables import stream_table
-from rillmart.streaming import jobs, run, sinks
+from rillmart.streaming import jobs, rollups, run, sinks
 from rillmart.streaming.waiting import waiting_join
 
 AS_OF = "2024-06-30"  # ages are as of this day, so that runs repeat
@@ -27,6 +27,7 @@ ITEM = "red widget"  # search text of the item queries
 FACTS = ["order_info", "order_detail"]
 DIMS = ["user_info", "base_province"]
 ARRIVALS = 1706745600  # 2024-02-01, when the first file of a topic arrives
+DEEP_PAGE = 200
 STARTING_OFFSETS = {0: 25, 1: 100, 2: 60}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,20 +63,33 @@ def dau_times(shop: Shop) -> DataFrame:
 
 
 def order_index(shop: Shop, user: bool = False, province: bool = False, names: bool = True) -> DataFrame:
-    """The order index as serving reads it: each line is one document already.
-
-    Only the dimensions a query uses are looked up.
-    """
+    """The order index made anew, one row a line however often it was sent. Only the dimensions a query uses are looked up."""
     return orders.order_wide(
         shop.order_info(),
         shop.order_detail() if names else shop.order_lines(),
         shop.user_info() if user else None,
         shop.base_province() if province else None,
         AS_OF,
-        unique=False,
     )
 
 
+_ORDER_TABLES: dict[tuple[str, str], sinks.DailyTable] = {}  # by application and folder
+
+
+def order_table(shop: Shop) -> sinks.DailyTable:
+    """The stored order index that serving reads, written once in an application: all lines, then a fifth of them replayed, then compacted."""
+    key = (shop.spark.sparkContext.applicationId, shop.folder)
+    if key not in _ORDER_TABLES:
+        wide = orders.order_wide(shop.order_info(), shop.order_detail(), shop.user_info(), shop.base_province(), AS_OF)
+        path = f"{run_folder(shop.spark, 'order_table')}/wide"
+        table = sinks.DailyTable(shop.spark, path, schemas.like(wide, schemas.ORDER_WIDE), "detail_id", "create_date")
+        table.append(wide, version=1)
+        table.append(table.read().where(F.col("detail_id") % 5 == 0), version=2)
+        table.compact()
+        _ORDER_TABLES[key] = table
+    return _ORDER_TABLES[key]
+
+
 def lists(shop: Shop) -> DataFrame:
     return changes.table_lists(shop.spark, FACTS, DIMS)
 
@@ -536,7 +550,7 @@ def dau_by_hour_filled(shop: Shop) -> DataFrame:
 
 @query
 def amount_by_field(shop: Shop) -> DataFrame:
-    rows = serving.amount_by_field(order_index(shop, user=True), ITEM, "user_age")
+    rows = serving.amount_by_field(order_table(shop).read(), ITEM, "user_age")
     return rows.select("create_date", "key", "n", money("amount"))
 
 
@@ -547,7 +561,7 @@ def top_terms(shop: Shop) -> DataFrame:
 
 @query
 def age_bucket_amount(shop: Shop) -> DataFrame:
-    amounts = serving.amount_by_field(order_index(shop, user=True), "widget", "user_age")
+    amounts = serving.amount_by_field(order_table(shop).read(), "widget", "user_age")
     return serving.age_buckets(amounts).select("create_date", "name", money("value"))
 
 
@@ -601,9 +615,28 @@ def paginate(shop: Shop) -> DataFrame:
     return serving.paginate(rows, serving.newest_first(), page_no=3, page_size=serving.PAGE_SIZE)
 
 
+def _pages(shop: Shop) -> DataFrame:
+    return order_index(shop, names=False).select("detail_id", "create_time", "order_id")
+
+
+@query
+def paginate_after(shop: Shop) -> DataFrame:
+    """The third page by the last row of the second."""
+    rows = _pages(shop)
+    last = serving.paginate(rows, serving.newest_first(), page_no=2).orderBy("create_time", F.desc("detail_id")).first()
+    return serving.page_after(rows, last and (last["create_time"], last["detail_id"]))
+
+
+@query
+def paginate_deep(shop: Shop) -> DataFrame:
+    """A page far back by its number, from rows stored in order: only the files that hold it are read."""
+    pages = rollups.SortedPages(shop.spark, run_folder(shop.spark, "paginate_deep"))
+    return pages.write(_pages(shop), serving.newest_first()).page(DEEP_PAGE, serving.PAGE_SIZE)
+
+
 @query
 def detail_total(shop: Shop) -> DataFrame:
-    return serving.detail_total(order_index(shop), ITEM)
+    return serving.detail_total(order_table(shop).read(), ITEM)
 
 
 # ---- scalar functions ----------------------------------------------------------------------------
@@ -696,20 +729,55 @@ def dau_realtime_day(shop: Shop) -> DataFrame:
 
 @query
 def stats_by_item(shop: Shop) -> DataFrame:
-    rows = serving.stats_by_item(order_index(shop, user=True), ITEM, "gender")
+    rows = serving.stats_by_item(order_table(shop).read(), ITEM, "gender")
     return rows.select("create_date", "name", money("value"))
 
 
 @query
 def stats_by_item_age(shop: Shop) -> DataFrame:
-    rows = serving.stats_by_item(order_index(shop, user=True), ITEM, "age")
+    rows = serving.stats_by_item(order_table(shop).read(), ITEM, "age")
     return rows.select("create_date", "name", money("value"))
 
 
 @query
 def detail_by_item(shop: Shop) -> DataFrame:
-    page = serving.detail_by_item(order_index(shop, user=True, province=True), DAY, ITEM)
-    return page.detail.withColumn("total", page.total.select("total").scalar())
+    """The first page of the hits of a stored day, of which only the folder is read."""
+    return serving.detail_with_total(serving.detail_by_item(order_table(shop).read(DAY), DAY, ITEM))
+
+
+@query
+def detail_empty_page(shop: Shop) -> DataFrame:
+    """A page beyond the last: no rows, but the total."""
+    return serving.detail_with_total(serving.detail_by_item(order_table(shop).read(DAY), DAY, ITEM, page_no=100_000))
+
+
+def _with_late_changes(shop: Shop, table: rollups.RolledTable, rows: DataFrame, key: str, **stale: Column) -> rollups.RolledTable:
+    """All rows, of which a fifth have stale values; these are corrected by a second write, which is then replayed."""
+    late = F.pmod(F.xxhash64(key), F.lit(5)) == 0
+    table.append(rows.withColumns({c: F.when(late, value).otherwise(F.col(c)) for c, value in stale.items()}), 0, "stream")
+    for _ in range(2):
+        table.append(rows.where(late), 1, "stream")
+    return table
+
+
+@query
+def dau_realtime_rolled(shop: Shop) -> DataFrame:
+    """The same from counts by hour that the writing job keeps, after rows have moved to another hour."""
+    folder, index = run_folder(shop.spark, "dau_realtime_rolled"), _stored(shop, "dau_realtime_rolled", dau_index(shop))
+    table = sinks.DailyTable(shop.spark, f"{folder}/dau", index.schema, "mid")
+    sums = _with_late_changes(shop, rollups.RolledTable(table, f"{folder}/sums", ["hr"]), index, "mid", hr=F.lit("00"))
+    return serving.realtime_of_hours(sums.read().withColumnRenamed("n", "cnt"))
+
+
+@query
+def stats_by_item_rolled(shop: Shop) -> DataFrame:
+    """The same from sums by name, gender and age that the writing job keeps, after rows have moved to another group."""
+    folder, wide = run_folder(shop.spark, "stats_by_item_rolled"), order_table(shop).read()
+    table = sinks.DailyTable(shop.spark, f"{folder}/wide", wide.schema, "detail_id", "create_date")
+    sums = rollups.RolledTable(table, f"{folder}/sums", serving.ITEM_GROUPS, "split_total_amount")
+    other = F.when(F.col("user_gender") == "F", "M").otherwise("F")
+    _with_late_changes(shop, sums, wide, "detail_id", user_gender=other, split_total_amount=F.lit(1.0))
+    return serving.stats_of_rollup(sums.read(), ITEM, "gender").select("create_date", "name", money("value"))
 
 
 @query

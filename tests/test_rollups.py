@@ -1,0 +1,167 @@
+"""Sums kept beside a table, pages by seeking, sessions in slices."""
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from rillmart import schemas
+from rillmart.operators import reports, serving
+from rillmart.session import run_folder
+from rillmart.streaming import sinks
+from rillmart.streaming.rollups import RolledTable, SortedPages
+
+LINES = schemas.struct(detail_id="bigint", create_date="string", sku_name="string", user_gender="string", user_age="int", split_total_amount="double")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rolled(spark, name, **more):
+    folder = run_folder(spark, name)
+    table = sinks.DailyTable(spark, f"{folder}/t", LINES, "detail_id", "create_date", fold_every=3)
+    return table, RolledTable(table, f"{folder}/sums", serving.ITEM_GROUPS, "split_total_amount", **more)
+
+
+def same_sums(table, sums):
+    full = table.read().groupBy(*serving.ITEM_GROUPS).agg(F.count("*").alias("n"), F.sum(F.coalesce(F.col("split_total_amount"), F.lit(0)).cast("decimal(38,8)")).cast("decimal(38,8)").alias("amount"))
+    assert sorted(map(str, full.collect())) == sorted(map(str, sums.read().select(full.columns).collect()))
+    for kind in ("gender", "age"):
+        a = serving.stats_by_item(table.read(), "red ring", kind)
+        b = serving.stats_of_rollup(sums.read(), "red ring", kind)
+        rounded = lambda df: sorted((str(r.create_date), r.name or "", round(r.value or 0, 6)) for r in df.collect())
+        assert rounded(a) == rounded(b)
+
+
+def test_sums_follow_upserts_that_move_rows(spark):
+    rng = random.Random(3)
+    table, sums = rolled(spark, "t_rolled", fold_every=2)
+
+    def some(n):
+        return [
+            (rng.randrange(40), rng.choice(["2024-01-01", "2024-01-02", None]), rng.choice(["red ring", "blue ring", "ring red big", None]),
+             rng.choice(["M", "F", None]), rng.choice([15, 25, 35, None]), rng.choice([0.1, 0.2, 19.99, None]))
+            for _ in range(n)
+        ]
+
+    for version in range(5):
+        sums.append(spark.createDataFrame(some(30), LINES), version, "stream")  # with ids that repeat, also in one write
+        same_sums(table, sums)
+    assert sums.sums.generation() == 2 and table.log.generation() == 1
+    sums.append(spark.createDataFrame(some(10), LINES), 2, "correction")  # an older version, which loses to newer rows
+    same_sums(table, sums)
+
+
+def test_a_replay_leaves_the_sums(spark):
+    table, sums = rolled(spark, "t_again")
+    first = spark.createDataFrame([(1, "2024-01-01", "red ring", "M", 20, 5.0), (2, "2024-01-01", "red ring", "F", 20, 7.0)], LINES)
+    moved = spark.createDataFrame([(1, "2024-01-01", "red ring", "F", 20, 6.0)], LINES)
+    sums.append(first, 0, "stream")
+    for _ in range(2):
+        sums.append(moved, 1, "stream")
+        same_sums(table, sums)
+    assert [(r.user_gender, r.n, float(r.amount)) for r in sums.read(["2024-01-01"]).collect()] == [("F", 2, 13.0)]
+    assert sums.read(["1999-01-01"]).count() == 0
+    # the sums are written, but the table is not: the write comes again
+    late = spark.createDataFrame([(3, "2024-01-01", "red ring", "M", 20, 1.0)], LINES)
+    whole, table.append = table.append, lambda *a: (_ for _ in ()).throw(RuntimeError("down"))
+    with pytest.raises(RuntimeError):
+        sums.append(late, 2, "stream")
+    table.append = whole
+    sums.append(late, 2, "stream")
+    same_sums(table, sums)
+
+
+# ---- pages -----------------------------------------------------------------------------------------
+
+
+def detail_rows(spark, n):
+    return spark.range(n).select(
+        (F.col("id") * 7919 % n).alias("detail_id"), F.concat(F.lit("2024-01-"), F.lpad((F.col("id") * 31 % 28 + 1).cast("string"), 2, "0")).alias("create_time")
+    )
+
+
+def test_pages_by_number_read_few_files(spark):
+    rows = detail_rows(spark, 5000)
+    want = [(r.create_time, r.detail_id) for r in rows.orderBy(*serving.newest_first()).collect()]
+    pages = SortedPages(spark, f"{run_folder(spark, 't_pages')}/p").write(rows, serving.newest_first(), file_rows=300)
+    assert pages.total() == 5000
+    for page_no, size in ((1, 20), (3, 20), (250, 20), (16, 300), (2, 900), (251, 20), (1, 0)):
+        page = pages.page(page_no, size)
+        assert [(r.create_time, r.detail_id) for r in page.collect()] == want[(page_no - 1) * size : page_no * size]
+        assert len(page.inputFiles()) <= 2 + size // 200
+    deep = plan_of(pages.page(240, 20))
+    offsets = [int(x) for x in __import__("re").findall(r"offset=(\d+)", deep)]
+    assert all(o < 300 for o in offsets)
+    with pytest.raises(ValueError):
+        pages.page(0, 20)
+    empty = SortedPages(spark, f"{run_folder(spark, 't_pages')}/e").write(rows.where("false"), serving.newest_first())
+    assert empty.page(1, 20).count() == 0 and empty.total() == 0
+
+
+def test_a_cursor_walks_all_pages(spark):
+    rows = detail_rows(spark, 230)
+    want = [(r.create_time, r.detail_id) for r in rows.orderBy(*serving.newest_first()).collect()]
+    got, cursor = [], None
+    while page := serving.page_after(rows, cursor, 50).collect():
+        got += [(r.create_time, r.detail_id) for r in page]
+        cursor = got[-1]
+    assert got == want
+    plan = plan_of(serving.page_after(rows, want[200], 20))
+    assert "TakeOrderedAndProject(limit=20, " in plan and "offset" not in plan
+
+
+def test_the_total_of_an_empty_page(spark):
+    columns = {c: "string" for c in schemas.DETAIL_COLUMNS} | {"detail_id": "bigint", "create_date": "string"}
+    wide = spark.createDataFrame([tuple("red ring" if c == "sku_name" else "2024-01-01" if c == "create_date" else i if c == "detail_id" else "x" for c in columns) for i in range(5)], schemas.struct(**columns))
+    full = serving.detail_with_total(serving.detail_by_item(wide, "2024-01-01", "ring", 1, 3)).collect()
+    assert len(full) == 3 and all(r.total == 5 and r.sku_name == "red <em>ring</em>" for r in full)
+    for args in (("2024-01-01", "ring", 9, 3), ("1999-01-01", "ring", 1, 3)):
+        (row,) = serving.detail_with_total(serving.detail_by_item(wide, *args)).collect()
+        assert row.total == (5 if args[0] == "2024-01-01" else 0) and row.sku_name is None
+
+
+# ---- sessions ----------------------------------------------------------------------------------------
+
+
+def plain_sessions(views):
+    """The count over whole devices, by the order of time."""
+    rest = [c for c in views.columns if c not in ("mid", "dt", "ts")]
+    order = Window.partitionBy("mid").orderBy("dt", "ts", F.xxhash64(*rest)).rowsBetween(Window.unboundedPreceding, 0)
+    return views.withColumn("session", F.count_if(F.col("last_page_id").isNull()).over(order))
+
+
+@pytest.mark.parametrize("hot", ["m1", None])
+def test_a_hot_device_is_cut_into_slices(spark, hot):
+    """Half of all views are of one device, or of none; the sessions are those of a count over whole devices."""
+    views = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(hot)).otherwise(F.concat(F.lit("d"), F.col("id") % 50)).alias("mid"),
+        (F.lit(1704067200000) + F.col("id") * 7919 % 4000 * 43200).alias("ts"),
+        F.when(F.col("id") % 5 > 0, "home").alias("last_page_id"), F.col("id").cast("string").alias("page_id"),
+        F.lit("1").alias("is_new"), F.lit("c").alias("channel"), F.col("id").alias("during_time"),
+    )
+    views = reports.dated(views)
+    got, want = reports.sessions(views), plain_sessions(views)
+    assert sorted(map(str, got.select("page_id", "session").collect())) == sorted(map(str, want.select("page_id", "session").collect()))
+    # whole views are put in order by slice; only counts of slices are by device
+    for line in plan_of(got).splitlines():
+        if "Window [" in line and "page_id" in line:
+            assert "_slice#" in line.split("windowspecdefinition(")[1].split("ASC")[0]
+    most = views.withColumn("s", F.floor(F.col("ts") / reports.SLICE_MS)).groupBy("mid", "s").count().agg(F.max("count")).first()[0]
+    assert most < 20
+    new = reports.new_vs_old(views).collect()[0]
+    assert new.pv == 4000 and new.uv == (25 if hot is None else 26)
+
+
+def test_nobody_is_no_device_and_no_user(spark):
+    views = reports.dated(spark.createDataFrame(
+        [(None, None, 1704067200000, None, "home", "1", "c", 5), ("a", "u", 1704067200000, None, "home", "0", "c", 5)],
+        "mid STRING, user_id STRING, ts BIGINT, last_page_id STRING, page_id STRING, is_new STRING, channel STRING, during_time BIGINT",
+    ))
+    assert tuple(reports.visit_total(views).first()) == (2, 1, 0)
+    assert reports.uv_by_day(views).first().uv == 1
+    assert {r.is_new: (r.pv, r.uv) for r in reports.new_vs_old(views).collect()} == {"1": (1, 0), "0": (1, 1)}
+    actions = spark.createDataFrame([], "user_id STRING, action_id STRING")
+    assert [r.users for r in reports.action_funnel(views, actions, {"home": ("page", "home")}).collect()] == [1]
