@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +39,29 @@ def ascii_lower(text: Column) -> Column:
 def fingerprint(value: Column, seed: int = 0) -> list[Column]:
     """128 bits as two longs."""
     return [F.xxhash64(F.lit(2 * seed), value), F.xxhash64(F.lit(2 * seed + 1), value)]
+
+
+_HELD: dict[str, Any] = {}
+
+
+def held(owner: str, make: Callable[[], Any] = dict) -> Any:
+    """What a Python worker keeps from task to task for one operator.
+
+    Spark gives a worker tasks of one stage after the other; when another operator asks, the memory of the one before is given
+    back to the system first.
+    """
+    if owner not in _HELD:
+        _HELD.clear()
+        give_back()
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
+def give_back() -> None:
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillmart.llm.common import fingerprint, written
+from rillmart.llm.common import fingerprint, held, written
 from rillmart.llm.components import components
 
 TREES, DEPTH = 16, 8
@@ -33,7 +33,8 @@ FIRST = 2  # trees of the first pass
 REGION_PAIRS = 200  # of different groups that are listed for a region; one with more is compared in blocks
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 20  # about what a block of a crowded region holds at most
 COLUMNS = 4096  # shingles in a matrix at once
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
+MARKS = 200_000  # rows whose marks are broadcast, 16 bytes and a key each, to find their texts
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.default_rng(5)
@@ -81,6 +82,7 @@ def _features(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, r1, r2, n, set_key, labels for each row (doc_id, r1, r2, text); no set_key where there are no words."""
 
     def make(frames):
+        held("shingles")
         shingles = Shingles(words)
         for f in frames:
             n, keys, labels = [], [], []
@@ -168,11 +170,16 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _whole_sets(nodes: DataFrame, rows: DataFrame, features: DataFrame, words: int) -> DataFrame:
-    """node, shingles: the sets of ``nodes``, made again from the text of one of the rows that have them."""
+    """node, shingles: the sets of ``nodes``, made again from the text of one of the rows that have them.
+
+    A bounded number of rows is found in a scan of the texts; for more of them the texts are shuffled.
+    """
     one = features.join(nodes, features["set_key"] == nodes["node"]).groupBy("node").agg(F.min(F.struct("r1", "r2")).alias("r"))
-    texts = rows.join(one.select("node", "r.r1", "r.r2"), ["r1", "r2"]).dropDuplicates(["r1", "r2", "node"])
+    one = written(one.select("node", "r.r1", "r.r2"), "marks")
+    texts = rows.join(F.broadcast(one) if one.count() <= MARKS else one, ["r1", "r2"]).dropDuplicates(["r1", "r2", "node"])
 
     def make(frames):
+        held("shingles")
         shingles = Shingles(words)
         for f in frames:
             yield pd.DataFrame({"node": f["node"], "shingles": [shingles.of(t).tobytes() for t in f["text"]]})

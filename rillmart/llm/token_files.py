@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rillmart.llm.common import written
+from rillmart.llm.common import held, written
 from rillmart.session import run_folder
 
 HEAD, TAIL = b"RMTP0001", b"RMTPEND1"
@@ -51,11 +51,11 @@ CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed valu
 class _Kept(dict):
     """Values made on demand. When full, it starts anew and takes back what is asked for again."""
 
-    def __init__(self, make):
-        self.make, self.before = make, {}
+    def __init__(self, make, most: int):
+        self.make, self.most, self.before = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
+        if len(self) >= self.most:
             self.before = dict(self)
             self.clear()
         found = self.before.get(key)
@@ -74,8 +74,8 @@ class _Cutter:
         self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         steps = (json.loads(tokenizer.to_str()).get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.latin = steps[0].get("pattern") == {"Regex": CUT} and all(s[:1] == "<" for s in self.specials)
-        self.parts = _Kept(self._part)
-        self.pieces = _Kept(self._piece)
+        self.pieces = _Kept(self._piece, KEPT_PIECES)
+        self.parts = _Kept(self._part, KEPT_PIECES // 3)  # of pieces of several parts
 
     def _ids(self, cut) -> bytes:
         return array("I", [t.id for part, _ in cut for t in self.model.tokenize(part)]).tobytes()
@@ -94,22 +94,20 @@ class _Cutter:
         ascii_only = self.latin and piece.isascii()
         normal = piece.lower() if ascii_only else self.tokenizer.normalizer.normalize_str(piece)
         if ascii_only or self.latin and max(normal, default="") <= "ɏ":
+            if normal.isalpha():  # letters alone are one part
+                return self._part(normal)
             return b"".join(map(self.parts.__getitem__, LATIN.findall(normal)))
         return self._ids(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
 
-_KNOWN: dict[str, _Cutter] = {}  # by file: a worker that runs more tasks need not encode the same pieces again
-
-
 class PieceEncoder:
     """Ids of texts as little-endian 32-bit integers, by a ``tokenizers`` file whose vocabulary drops white space."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
-        if tokenizer_file not in _KNOWN:
-            _KNOWN[tokenizer_file] = _Cutter(Tokenizer.from_file(tokenizer_file))
-        self.known = _KNOWN[tokenizer_file].pieces
+        # a worker that runs more tasks need not encode the same pieces again
+        self.known = held(f"pieces of {tokenizer_file}", lambda: _Cutter(Tokenizer.from_file(tokenizer_file))).pieces
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # two more keys make the getter return a tuple for any text

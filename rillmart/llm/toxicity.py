@@ -19,13 +19,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillmart.llm.common import written
+from rillmart.llm.common import held, written
 
 WORD = re.compile(r"[^\W\d_]+")
 BITS = 20
 TRAIN_ROWS = 24_000  # bound of the labelled rows learned from
 SHARDS, ROUNDS = 4, 3
-KEPT_WORDS, BLOCK_WORDS = 400_000, 400_000
+KEPT_WORDS, BLOCK_WORDS = 200_000, 100_000
 BLOCK = 1 << 14  # coordinates of a state that travel together
 PAIR, SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -148,6 +148,7 @@ def learn(
     for _ in range(rounds):
 
         def go(frames, z=z, n=n):
+            held("words of toxicity")
             features, states = Features(bits), {}
             for frame in frames:
                 for shard, label, text in zip(frame["shard"], frame["label"], frame["text"], strict=True):
@@ -179,12 +180,13 @@ def toxicity(model: Model, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held("words of toxicity")
         features, weights = Features(model.bits), model.dense()
         for texts in batches:
             out = []
             for text in texts:
-                held = [np.unique(b[weights[b] != 0]) for b in features.blocks(text)]
-                at = np.unique(np.concatenate(held)) if held else np.zeros(0, dtype=np.int64)
+                some = [np.unique(b[weights[b] != 0]) for b in features.blocks(text)]
+                at = np.unique(np.concatenate(some)) if some else np.zeros(0, dtype=np.int64)
                 out.append(_margin_to_probability(weights[at].sum() + model.bias))
             yield pd.Series(out, dtype="float64")
 

@@ -12,7 +12,7 @@ from odd import documents, nothing, texts
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rillmart.llm import byte_bpe, packing, token_files
+from rillmart.llm import byte_bpe, common, packing, token_files
 from rillmart.llm.queries import REGISTRY
 
 WORDS, RANKS = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,7 +28,7 @@ def test_pieces_give_the_ids_of_the_whole_text(monkeypatch):
     assert list(token_files.PieceEncoder(WORDS).encode_all(samples)) == want
     monkeypatch.setattr(token_files, "KEPT_PIECES", 3)
     monkeypatch.setattr(token_files, "PARSE_CHARS", 100)
-    monkeypatch.setattr(token_files, "_KNOWN", {})
+    monkeypatch.setattr(common, "_HELD", {})
     assert list(token_files.PieceEncoder(WORDS).encode_all(samples)) == want
     assert list(token_files.PieceEncoder(WORDS).encode_all([None])) == [b""]
 
