@@ -2,8 +2,9 @@
 
 Pieces are those of a fixed public vocabulary that consist of letters. Each language has a probability for each piece,
 learned by expectation maximisation; a word's probability is the sum over all its segmentations into pieces, which the
-forward algorithm adds up, and a text's is the product over its words. A word is a run of letters, lower-cased and marked
-at its start as the vocabulary does; runs longer than 24 letters are scored in slices of 24.
+forward algorithm adds up, and a text's is the product over its words. A word is a run of letters of any length, lower-cased and
+marked at its start as the vocabulary does; digits, numerals and marks are no letters. The sums of long words are scaled on
+the way, as they would leave the range of numbers.
 
 Words are scored once per task and kept in a bounded table, many words of equal length at a time.
 """
@@ -21,15 +22,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillmart.llm.common import written
+from rillmart.llm.common import held, written
 
 WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # how the vocabulary marks the start of a word
-SLICE = 24
+RESCALE = 16  # places after which sums are scaled; a place makes them at most 1e9 times smaller
+SHORT = 24  # longer words are learned from by logarithms
 FLOOR = 1e-9  # probability of a letter that is no piece, and of a piece not seen in a language
 BASE = np.uint64(0x9E3779B97F4A7C15)
-KEPT_WORDS = 400_000  # of a task's table of scored words
-FLUSH_WORDS = 400_000  # words of texts at once
+KEPT_WORDS = 200_000  # of a task's table of scored words
+KEPT_LETTERS = 4_000_000  # of these words
+GROUP_LETTERS = 1_500_000  # of words scored at once
+FLUSH_WORDS = 100_000  # words of texts at once
 ROWS_PER_LANG = 4_000  # bound of the rows learned from, by language
 ROUNDS = 3
 
@@ -61,19 +65,20 @@ class Lattice:
             value = (value * int(BASE) + ord(c)) & ((1 << 64) - 1)
         return value
 
-    def arcs(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(start, end, row of each word's piece) by rising end."""
+    def arcs(self, words: list[str], back: bool = False) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(start, end, row of each word's piece) by rising end, or ``back`` by falling start."""
         n = len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").reshape(len(words), n)
         sums = [np.zeros(len(words), dtype=np.uint64)]
         for j in range(n):
             sums.append(sums[-1] * BASE + codes[:, j])
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                at = sums[end] - sums[start] * self.powers[end - start]
-                place = np.minimum(np.searchsorted(self.hashes, at), len(self.hashes) - 1)
-                other = self.letter if end - start == 1 else self.none
-                yield start, end, np.where(self.hashes[place] == at, self.order[place], other)
+        forth = ((start, end) for end in range(1, n + 1) for start in range(max(0, end - self.longest), end))
+        back_again = ((start, end) for start in range(n - 1, -1, -1) for end in range(start + 1, min(n, start + self.longest) + 1))
+        for start, end in back_again if back else forth:
+            at = sums[end] - sums[start] * self.powers[end - start]
+            place = np.minimum(np.searchsorted(self.hashes, at), len(self.hashes) - 1)
+            other = self.letter if end - start == 1 else self.none
+            yield start, end, np.where(self.hashes[place] == at, self.order[place], other)
 
 
 @dataclass
@@ -86,21 +91,33 @@ class Model:
 def _by_length(words) -> Iterator[list[str]]:
     for _, group in itertools.groupby(sorted(words, key=len), key=len):
         group = list(group)
-        for i in range(0, len(group), 50_000):
-            yield group[i : i + 50_000]
+        many = max(1, min(50_000, GROUP_LETTERS // len(group[0])))
+        for i in range(0, len(group), many):
+            yield group[i : i + many]
 
 
 def word_scores(lattice: Lattice, probabilities: np.ndarray, words: list[str]) -> np.ndarray:
-    """Log-probability of each of the equally long words in each language: the forward algorithm."""
-    forward = np.zeros((len(words[0]) + 1, len(words), probabilities.shape[1]))
-    forward[0] = 1
+    """Log-probability of each of the equally long words in each language: the forward algorithm.
+
+    Of the sums only those are kept that a piece can still start from.
+    """
+    shape = (len(words), probabilities.shape[1])
+    sums, scale, now, last = {0: np.ones(shape)}, np.zeros(shape), np.zeros(shape), 0
     for start, end, row in lattice.arcs(words):
-        forward[end] += forward[start] * probabilities[row]
-    return np.log(forward[-1])
+        if end != last:
+            if last and last % RESCALE == 0:
+                scale += np.log(sums[last])
+                sums = {at: x / sums[last] for at, x in sums.items()}
+            sums.pop(end - lattice.longest - 1, None)
+            sums[end], last = np.zeros(shape), end
+        sums[end] += sums[start] * probabilities[row]
+    return scale + np.log(sums[len(words[0])])
 
 
 def _expected(lattice: Lattice, p: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected count of each row of ``p`` in one language: forward-backward over equally long words."""
+    if len(words[0]) > SHORT:
+        return _expected_long(lattice, np.log(np.maximum(p, 1e-300)), words, counts)
     arcs = list(lattice.arcs(words))
     forward = np.zeros((len(words[0]) + 1, len(words)))
     backward = np.zeros_like(forward)
@@ -116,14 +133,32 @@ def _expected(lattice: Lattice, p: np.ndarray, words: list[str], counts: np.ndar
     return total
 
 
+def _expected_long(lattice: Lattice, logs: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
+    """``_expected`` by logarithms, in which long words have probabilities, and without a list of all arcs."""
+    forward, backward = np.full((len(words[0]) + 1, len(words)), -np.inf), np.full((len(words[0]) + 1, len(words)), -np.inf)
+    forward[0], backward[-1] = 0, 0
+    for start, end, row in lattice.arcs(words):
+        forward[end] = np.logaddexp(forward[end], forward[start] + logs[row])
+    for start, end, row in lattice.arcs(words, back=True):
+        backward[start] = np.logaddexp(backward[start], backward[end] + logs[row])
+    total = np.zeros(len(logs))
+    for start, end, row in lattice.arcs(words):
+        share = np.exp(forward[start] + logs[row] + backward[end] - forward[-1])
+        total += np.bincount(row, weights=share * counts, minlength=len(logs))
+    return total
+
+
 def marked_words(text: str) -> Iterator[str]:
     for m in WORD.finditer(text.lower()):
         run = m.group()
-        for i in range(0, len(run), SLICE):
-            yield START + run[i : i + SLICE] if i == 0 else run[i : i + SLICE]
+        if run.isalpha():
+            yield START + run
+        else:  # numerals such as ½ or Ⅷ are of words but are no letters
+            yield from (START + letters for letters in "".join(c if c.isalpha() else " " for c in run).split())
 
 
 def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held("words of languages")
     seen: Counter = Counter()
 
     def flush():
@@ -197,13 +232,16 @@ class Scorer:
 
     def _forget(self):
         self.place: dict[str, int] = {}
+        self.letters = 0
         self.scores = np.zeros((0, len(self.model.langs)))
 
     def _learn(self, words: set[str]):
         fresh = words.difference(self.place)
-        if len(self.place) + len(fresh) > KEPT_WORDS:
+        letters = sum(map(len, fresh))
+        if len(self.place) + len(fresh) > KEPT_WORDS or self.letters + letters > KEPT_LETTERS:
             self._forget()
-            fresh = words
+            fresh, letters = words, sum(map(len, words))
+        self.letters += letters
         parts = [self.scores]
         for group in _by_length(fresh):
             self.place.update(zip(group, range(len(self.place), len(self.place) + len(group)), strict=True))
@@ -245,6 +283,7 @@ def language(model: Model, text: Column) -> Column:
 
     @F.pandas_udf("lang STRING, score DOUBLE")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        held("words of languages")
         scorer = Scorer(model)
         names = np.array([*model.langs, "und"], dtype=object)
         for texts in batches:

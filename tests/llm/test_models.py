@@ -41,12 +41,59 @@ def test_forward_sums_all_segmentations_and_learning_counts_them():
         assert np.allclose(language_id._expected(lattice, p[:, 0], [word], np.array([2.0])), counts)
 
 
+def test_long_runs_sum_all_segmentations():
+    """Runs of 60 letters and more, against exact sums over all their segmentations."""
+    from fractions import Fraction
+
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba", "aba", "bbab"]
+    lattice = language_id.Lattice(pieces)
+    p = np.random.default_rng(4).random((len(pieces) + 2, 2)) / 5
+    p[lattice.none], p[lattice.letter] = 0, language_id.FLOOR
+    exact = [[Fraction(x) for x in column] for column in p.T]
+    for letters in ("ab" * 30, "abbabbcb" * 10, "q" * 70, "a" * 17, "ba" * 8):
+        word = language_id.START + letters
+        want = []
+        for column in exact:
+            sums = [Fraction(1)]
+            for end in range(1, len(word) + 1):
+                cut = [(word[start:end], sums[start]) for start in range(max(0, end - 4), end)]
+                rows = [(pieces.index(c) if c in pieces else lattice.letter if len(c) == 1 else lattice.none, s) for c, s in cut]
+                sums.append(sum(column[r] * s for r, s in rows))
+            want.append(math.log(sums[-1].numerator) - math.log(sums[-1].denominator))
+        assert np.allclose(language_id.word_scores(lattice, p, [word]), [want], rtol=1e-12)
+    assert list(language_id.marked_words("x" * 60 + " a½b ² Ⅷ ١ é")) == [START + "x" * 60, START + "a", START + "b", START + "é"]
+
+
+START = language_id.START
+
+
+def test_long_words_are_learned_from_like_short_ones(monkeypatch):
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba", "aba"]
+    lattice = language_id.Lattice(pieces)
+    p = np.random.default_rng(2).random(len(pieces) + 2) / 5
+    p[lattice.none], p[lattice.letter] = 0, language_id.FLOOR
+    words, counts = ["▁abcabab", "▁bbbbbab"], np.array([2.0, 3.0])
+    plain = language_id._expected(lattice, p, words, counts)
+    monkeypatch.setattr(language_id, "SHORT", 3)
+    long = language_id._expected(lattice, p, words, counts)
+    assert np.allclose(plain[: len(pieces)], long[: len(pieces)]) and np.isclose(plain[lattice.letter], long[lattice.letter])
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ"), (3, "word"), (4, "z" * 50_000), (5, "一" * 300)], "doc_id BIGINT, text STRING")
+    labelled = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate([("some word", "en"), ("ein wort", "de")] * 3)], "doc_id BIGINT, text STRING, lang STRING")
+    model = language_id.learn(labelled, PIECES)
+    got = {r.doc_id: r["is"] for r in docs.select("doc_id", language_id.language(model, F.col("text")).alias("is")).collect()}
+    assert [(got[i].lang, got[i].score) for i in (1, 2)] == [("und", 0.0)] * 2
+    assert got[3].lang == "en" and all(got[i].lang in ("en", "de") and 0 <= got[i].score <= 1 for i in (4, 5))
+
+
 def test_texts_sum_their_words_however_they_are_cut(monkeypatch):
     model = language_id.Model(["x"], language_id.letter_pieces(PIECES), None)
     model.probabilities = np.full((len(model.pieces) + 2, 1), 1e-5)
     text = "The quick brown fox, " * 5 + "q" * 60 + " 12 fox"
     whole, n = language_id.Scorer(model).totals([text, None, "", "7 !"])
-    assert n.tolist() == [24, 0, 0, 0] and whole[1:].sum() == 0
+    assert n.tolist() == [22, 0, 0, 0]  # a run of 60 letters is one word and whole[1:].sum() == 0
     monkeypatch.setattr(language_id, "FLUSH_WORDS", 3)
     monkeypatch.setattr(language_id, "KEPT_WORDS", 4)
     again, _ = language_id.Scorer(model).totals([text, None, "", "7 !"])
