@@ -85,7 +85,8 @@ def exact_duplicates(
         texts = texts.union(more)
     texts = texts.groupBy("doc_id", "sha", "level", "name").agg(F.sum("copies").alias("copies"))
     groups = texts.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    judged = texts.join(groups, ["level", "name"])
+    # written first, so that the join shuffles rows by name plainly, and the rows of a hot text can be split
+    judged = texts.join(written(groups, "text_groups"), ["level", "name"])
     return judged.select(
         "doc_id", "keep_id", "group_size", "sha", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")
     ).select(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillmart.llm.common import SPACES, ascii_lower, fingerprint
+from rillmart.llm.common import SPACES, ascii_lower, fingerprint, written
 from rillmart.session import run_folder
 
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -86,7 +86,8 @@ class LineRuns:
         held = held.where(F.char_length(_stripped(F.col("line"))) >= self.min_chars)
         held = held.select("__id", "__t1", "__t2", "pos", _hashes(F.col("line")).alias("key"))
         held = held.select("__id", "__t1", "__t2", "pos", "key.h1", "key.h2")
-        hits = held.join(self.repeated(min_docs), ["h1", "h2"]).where(~F.col("__id").eqNullSafe(F.col("top")))
+        # written first, so that the join shuffles lines plainly, and the places of a very common one can be split
+        hits = held.join(written(self.repeated(min_docs), "repeated_lines"), ["h1", "h2"]).where(~F.col("__id").eqNullSafe(F.col("top")))
         gone = hits.groupBy(F.col("__id").alias("__g_id"), F.col("__t1").alias("__g1"), F.col("__t2").alias("__g2"))
         gone = gone.agg(F.collect_set("pos").alias("__gone"))
         same = F.col("__id").eqNullSafe(F.col("__g_id"))

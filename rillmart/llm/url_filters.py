@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillmart.llm.common import ascii_lower
+from rillmart.llm.common import ascii_lower, written
 
 SHORT = 8  # hex digits of the digest to join on
 
@@ -81,7 +81,8 @@ def judge_urls(
             (F.col("verdict") == "block").alias("blocks"), rule.alias("rule"), "verdict",
         )
     )
-    judged = found.groupBy("host", "path").agg(best.alias("best"))
+    # written first, so that the join shuffles pages plainly, and those of a hot address, or of none, can be split
+    judged = written(found.groupBy("host", "path").agg(best.alias("best")), "judged_urls")
     return seen.join(judged, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
     )
