@@ -44,3 +44,10 @@ def test_stages_on_odd_documents_and_none(spark, name, stage):
     if name == "language":
         assert all(any(c.isalpha() for c in r.text) for r in rows) and len(rows) >= 16
     assert stage(spark, nothing(spark), FOLDER).count() == 0
+
+
+def test_without_labels_nothing_is_toxic(spark):
+    folder = run_folder(spark, "t-unlabelled")
+    spark.read.parquet(f"{FOLDER}/labels.parquet").where("false").write.parquet(f"{folder}/labels.parquet")
+    docs = documents(spark)
+    assert corpus_pipeline.drop_toxic(spark, docs, folder).count() == docs.count()

@@ -141,3 +141,33 @@ def test_query_3(spark):
     lengths = {r.doc_id: r.n for r in docs.select("doc_id", size.alias("n")).collect()}
     held, tokens = check_packing(REGISTRY["op3_best_fit_packing"](spark, "/root/testdata/sf0.001").collect(), lengths, packing.CAPACITIES)
     assert held < 1.05 * tokens
+
+
+def plain_best_fit(sizes, capacities, cost):
+    """Bins of pieces by falling size, by looking at every open bin; of equally full ones the one touched last."""
+    bins, left, touched = [], sum(sizes), 0
+    for at in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        size = sizes[at]
+        fit = [b for b in bins if b["room"] >= size]
+        if fit:
+            b = min(fit, key=lambda b: (b["room"], -b["touched"]))
+        else:
+            space = min((c for c in capacities if c >= size), key=lambda c: (cost.of(c) / max(1, min(c, left)), c))
+            b = {"room": space, "held": 0, "pieces": [], "touched": 0}
+            bins.append(b)
+        b["pieces"].append((at, b["held"]))
+        touched += 1
+        b["room"], b["held"], b["touched"] = b["room"] - size, b["held"] + size, touched
+        left -= size
+    return [(sorted(b["pieces"]), min(c for c in capacities if c >= b["held"])) for b in bins]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_packing_equals_a_plain_best_fit(seed):
+    rng = np.random.default_rng(seed)
+    capacities = ((512, 1024, 2048, 4096), (7,), (4, 9, 10, 64))[seed % 3]
+    sizes = np.minimum(rng.integers(0, capacities[-1] + 1, 400) // rng.integers(1, 9, 400), capacities[-1])
+    cost = packing.Cost(*((128.0, 1 / 8192), (0.0, 0.0), (5.0, 0.1))[seed // 4])
+    bins, offsets, final = packing.pack(sizes, capacities, cost)
+    got = [(sorted((int(at), int(offsets[at])) for at in np.nonzero(bins == b)[0]), int(final[b])) for b in range(len(final))]
+    assert got == plain_best_fit(sizes.tolist(), capacities, cost)
