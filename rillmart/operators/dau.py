@@ -32,10 +32,11 @@ def first_times(page_log: DataFrame) -> DataFrame:
 
 
 def first_of_day(page_log: DataFrame) -> DataFrame:
-    """The earliest row of each ``(dt, mid)``; equal times are settled by the other columns."""
+    """The earliest row of each ``(dt, mid)``; equal times are settled by one hash of the other columns."""
     rest = [c for c in page_log.columns if c not in ("dt", "mid", "ts")]
-    window = Window.partitionBy("dt", "mid").orderBy("ts", *rest)
-    return page_log.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    window = Window.partitionBy("dt", "mid").orderBy("ts", "_tie")
+    marked = page_log.withColumn("_tie", F.xxhash64(*rest))
+    return marked.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank", "_tie")
 
 
 def enrich(
