@@ -77,15 +77,14 @@ _ORDER_TABLES: dict[tuple[str, str], sinks.DailyTable] = {}  # by application an
 
 
 def order_table(shop: Shop) -> sinks.DailyTable:
-    """The stored order index that serving reads, written once in an application: all lines, then a fifth of them replayed, then compacted."""
+    """The stored order index that serving reads, written once in an application: all lines, then a fifth of them replayed."""
     key = (shop.spark.sparkContext.applicationId, shop.folder)
     if key not in _ORDER_TABLES:
         wide = orders.order_wide(shop.order_info(), shop.order_detail(), shop.user_info(), shop.base_province(), AS_OF)
         path = f"{run_folder(shop.spark, 'order_table')}/wide"
         table = sinks.DailyTable(shop.spark, path, schemas.like(wide, schemas.ORDER_WIDE), "detail_id", "create_date")
         table.append(wide, version=1)
-        table.append(table.read().where(F.col("detail_id") % 5 == 0), version=2)
-        table.compact()
+        table.append(table.writes().where(F.col("detail_id") % 5 == 0), version=2)
         _ORDER_TABLES[key] = table
     return _ORDER_TABLES[key]
 
