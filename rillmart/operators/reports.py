@@ -60,27 +60,23 @@ SLICE_MS = 60_000  # views of a device within one such slice of time are put in
 def sessions(views: DataFrame) -> DataFrame:
     """Views with ``session``, the number of visits the device has started so far.
 
-    A prefix sum in two levels: the running count is made within each slice of time of a device, and raised by the counts of
+    A prefix sum in two levels: the running count is made within each slice of time of a device, and begins with the count of
     its earlier slices, of which there is one small row each. So no task puts a whole device in order, be it a hot one or the
-    views that name none. Views before a device's first start are session 0. Views of one millisecond are told apart by
-    one hash of all that they hold.
+    views that name none. These small rows go through the same shuffle as the views and stand first in their slice; a join
+    would broadcast them, as Spark takes them for few. Views before a device's first start are session 0. Views of one
+    millisecond are told apart by one hash of all that they hold.
     """
-    starts = F.count_if(F.col("last_page_id").isNull())
-    cut = views.withColumn("_slice", F.floor(F.col("ts") / SLICE_MS))
+    slice_of = ["mid", "dt", "_slice"]
+    cut = views.withColumns({"_slice": F.floor(F.col("ts") / SLICE_MS), "_starts": F.col("last_page_id").isNull().cast("bigint")})
     rest = [c for c in views.columns if c not in ("mid", "dt", "ts")]
-    here = Window.partitionBy("mid", "dt", "_slice").orderBy("ts", "_tie").rowsBetween(Window.unboundedPreceding, 0)
-    counted = cut.withColumn("_tie", F.xxhash64(*rest)).withColumn("_here", starts.over(here)).drop("_tie")
-    slices = cut.groupBy("mid", "dt", "_slice").agg(starts.alias("_starts"))
     earlier = Window.partitionBy("mid").orderBy("dt", "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = slices.select(
-        F.col("mid").alias("_mid"), F.col("dt").alias("_dt"), F.col("_slice").alias("_its_slice"),
-        F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_before"),
+    before = cut.groupBy(*slice_of).agg(F.sum("_starts").alias("_starts")).select(
+        *slice_of, F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_starts"), F.lit(False).alias("_view")
     )
-    same = F.lit(True)
-    for name, its in (("mid", "_mid"), ("dt", "_dt"), ("_slice", "_its_slice")):
-        same = same & F.col(name).eqNullSafe(F.col(its))
-    both = counted.join(before, same)
-    return both.withColumn("session", F.col("_here") + F.col("_before")).select(*views.columns, "session")
+    marked = cut.withColumns({"_tie": F.xxhash64(*rest), "_view": F.lit(True)})
+    here = Window.partitionBy(*slice_of).orderBy("_view", "ts", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    both = marked.unionByName(before, allowMissingColumns=True).withColumn("session", F.sum("_starts").over(here))
+    return both.where("_view").select(*views.columns, "session")
 
 
 def visits(views: DataFrame, *by: str) -> DataFrame:

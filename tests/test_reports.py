@@ -74,3 +74,23 @@ def test_top(spark):
     assert [r.name for r in reports.top_by(lines, "n", 2).collect()] == ["b", "c"]
     with pytest.raises(ValueError):
         reports.top_by(lines, "n", 0)
+
+
+def test_slices_are_counted_without_a_join(views):
+    """A join of the slices with the views would be planned as a broadcast, however many slices there are."""
+    for report in (reports.channel_bounce(views), reports.new_vs_old(views)):
+        assert "Join" not in report._jdf.queryExecution().toString()
+
+
+def test_views_without_device_or_time_are_counted_through_their_slices(spark):
+    minute = reports.SLICE_MS
+    rows = [
+        (None, "d", None, 1), (None, "d", None, 3 * minute), (None, "d", "home", 3 * minute + 1),
+        (None, None, None, None), ("a", "d", "home", 1), ("a", "d", None, 2 * minute), ("a", "d", "home", 5 * minute),
+    ]
+    views = spark.createDataFrame(rows, "mid STRING, dt STRING, last_page_id STRING, ts BIGINT")
+    found = {(r.mid, r.ts): r.session for r in reports.sessions(views).collect()}
+    assert found == {
+        (None, None): 1, (None, 1): 2, (None, 3 * minute): 3, (None, 3 * minute + 1): 3,
+        ("a", 1): 0, ("a", 2 * minute): 1, ("a", 5 * minute): 1,
+    }
