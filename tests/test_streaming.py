@@ -10,8 +10,10 @@ from test_dau import ms
 from rillmart import schemas
 from rillmart.functions.records import from_rows, from_wire
 from rillmart.operators import changes, dau, dims, serving
+from rillmart.plans import queries
 from rillmart.session import run_folder
 from rillmart.sources import topics
+from rillmart.sources.shop_views import Shop
 from rillmart.streaming import jobs, run, sinks
 
 
@@ -325,3 +327,18 @@ def test_change_topic_to_dashboard(spark):
     found = serving.detail_by_item(index, "2024-01-01", "ring")
     assert found.total.collect()[0].total == 2
     assert {r.province_name for r in found.detail.collect()} == {"North"}
+
+
+@pytest.mark.parametrize("hours", [(0, 1, 2), (0, 30)])
+def test_an_hour_is_one_batch_however_many_tasks_wrote_it(spark, hours):
+    rows = spark.range(900).repartition(9)
+    late = F.when(F.col("id") < 3, 1).otherwise(0)  # an hour of few rows
+    stream = queries._arriving(Shop(spark, ""), "hours", rows, None if len(hours) == 3 else late, hours)
+    seen = []
+
+    def write(batch, _):
+        seen.append([tuple(r) for r in batch.groupBy(F.hour("timestamp"), F.to_date("timestamp")).count().collect()])
+
+    run.run_to_end(spark, stream.writeStream.foreachBatch(write), run_folder(spark, "hours"))
+    assert [len(times) for times in seen] == [1] * len(hours)
+    assert sum(times[0][2] for times in seen) == 900
