@@ -9,83 +9,83 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 WAIT_MS = 24 * 3600 * 1000  # fixed value: how long a header or the lines of an order wait
 OUT = "line STRING, line_at BIGINT, header STRING, header_at BIGINT"
+Found = Row("line", "line_at", "header", "header_at")
 
 
 class OrderWait(StatefulProcessor):
-    """The state of one order: its header and until when it waits, its lines and until when they do."""
+    """The state of one order: its header and until when it waits, its lines and until when they do.
+
+    Each call to the state is a trip to the JVM, so a batch reads and writes the small value of an order once. Its lines are a
+    list apart, which is appended to, and read only when they are given out.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.header = handle.getValueState("header", "row STRING, at BIGINT, until BIGINT")
+        self.order = handle.getValueState("order", "header STRING, at BIGINT, until BIGINT, waiting BIGINT, lines_until BIGINT")
         self.lines = handle.getListState("lines", "row STRING, at BIGINT")
-        self.until = handle.getValueState("lines_until", "until BIGINT")
-
-    def _waiting(self) -> list[tuple[str, int]]:
-        return [(r[0], r[1]) for r in self.lines.get()] if self.lines.exists() else []
-
-    def _forget_lines(self) -> None:
-        self.lines.clear()
-        self.until.clear()
-
-    def _give_up(self, now: int) -> list[tuple]:
-        """The lines, if their wait ended before ``now``."""
-        if not self.until.exists() or self.until.get()[0] >= now:
-            return []
-        out = [(row, at, None, None) for row, at in self._waiting()]
-        self._forget_lines()
-        return out
 
-    def _header(self, row: str, at: int) -> list[tuple]:
-        out = self._give_up(at)
-        out += [(line, line_at, row, at) for line, line_at in self._waiting()]
-        self._forget_lines()
-        self.header.update((row, at, at + WAIT_MS))
-        self.handle.registerTimer(at + WAIT_MS + 1)
+    def _take(self, waiting: int, new: list[tuple[str, int]]) -> list[tuple[str, int]]:
+        """All lines that wait, of which the first ``waiting`` are in the state; they wait no more."""
+        out = []
+        if waiting:
+            out += [(r[0], r[1]) for r in self.lines.get()]
+            self.lines.clear()
+        out += new
+        new.clear()
         return out
 
-    def _line(self, row: str, at: int) -> list[tuple]:
-        if self.header.exists():
-            header, header_at, until = self.header.get()
-            if until >= at:
-                return [(row, at, header, header_at)]
-        out = self._give_up(at)
-        self.lines.appendValue((row, at))
-        self.until.update((at + WAIT_MS,))
-        self.handle.registerTimer(at + WAIT_MS + 1)
-        return out
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # in the order of arrival; what comes at the same time finds its header
-        came = sorted((at, kind, row) for f in rows for at, kind, row in zip(f["at"].tolist(), f["kind"].tolist(), f["row"].tolist(), strict=True))
-        out: list[tuple] = []
+        came = sorted((r["at"], r["kind"], r["row"]) for r in rows)
+        header, header_at, until, waiting, lines_until = self.order.get() or (None, None, None, 0, None)
+        new: list[tuple[str, int]] = []
+        headers_came = False
         for at, kind, row in came:
-            out += self._header(row, int(at)) if kind == 0 else self._line(row, int(at))
-        yield _frame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            if kind == 1 and header is not None and until >= at:
+                yield Found(row, at, header, header_at)
+                continue
+            late = lines_until is not None and lines_until < at  # the wait of the lines ended before
+            if kind == 0 or late:
+                for line, line_at in self._take(waiting, new):
+                    yield Found(line, line_at, None, None) if late else Found(line, line_at, row, at)
+                waiting, lines_until = 0, None
+            if kind == 0:
+                header, header_at, until, headers_came = row, at, at + WAIT_MS, True
+            else:
+                new.append((row, at))
+                lines_until = at + WAIT_MS
+        if new:
+            self.lines.appendList(new)
+            self.handle.registerTimer(lines_until + 1)
+        if headers_came:
+            self.handle.registerTimer(until + 1)
+        if new or headers_came:
+            self.order.update((header, header_at, until, waiting + len(new), lines_until))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = expiredTimerInfo.getExpiryTimeInMs()
-        out = self._give_up(now)  # nothing, if a later line has restarted the wait
-        if self.header.exists() and self.header.get()[2] < now:
-            self.header.clear()
-        yield _frame(out)
+        header, header_at, until, waiting, lines_until = self.order.get() or (None, None, None, 0, None)
+        if lines_until is not None and lines_until < now:  # else a later line has restarted the wait
+            for line, line_at in self._take(waiting, []):
+                yield Found(line, line_at, None, None)
+            waiting, lines_until = 0, None
+        if until is not None and until < now:
+            header = header_at = until = None
+        if until is None and lines_until is None:
+            self.order.clear()
+        else:
+            self.order.update((header, header_at, until, waiting, lines_until))
 
     def close(self) -> None:
         pass
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    lines, line_at, headers, header_at = zip(*rows, strict=True) if rows else ((), (), (), ())
-    whole = lambda x: pd.array(x, dtype="Int64")
-    return pd.DataFrame({"line": pd.Series(lines, dtype=object), "line_at": whole(line_at), "header": pd.Series(headers, dtype=object), "header_at": whole(header_at)})
-
-
 def waiting_join(info: DataFrame, detail: DataFrame, how: str = "inner", arrival: str = "timestamp", delay: str = "24 hours") -> DataFrame:
     """Headers and lines as ``jobs.buffered_join`` gives them, but with waits that restart.
 
@@ -102,7 +102,7 @@ def waiting_join(info: DataFrame, detail: DataFrame, how: str = "inner", arrival
         return rows.select(F.col(order).alias("order_id"), F.lit(kind).alias("kind"), at.alias("at"), F.to_json(F.struct(*columns)).alias("row"), F.col(arrival).alias("_arrival"))
 
     both = side(info, "id", 0).union(side(detail, "order_id", 1)).where("order_id IS NOT NULL").withWatermark("_arrival", delay)
-    found = both.groupBy("order_id").transformWithStateInPandas(OrderWait(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
+    found = both.groupBy("order_id").transformWithState(OrderWait(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
     if how == "inner":
         found = found.where("header IS NOT NULL")
     h_schema, d_schema = (type(x.schema)([f for f in x.schema.fields if f.name != arrival]) for x in (info, detail))
