@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from rillmart import schemas
 from rillmart.functions import labels, records, text, time
 from rillmart.operators import changes, dau, dims, logs, orders, reports, serving
-from rillmart.session import apply_settings, run_folder
+from rillmart.session import apply_settings, large_sorts, run_folder
 from rillmart.sources import shop_views as views
 from rillmart.sources import topics
 from rillmart.sources.segments import SegmentTopics
@@ -83,12 +83,20 @@ def order_table(shop: Shop) -> sinks.DailyTable:
         wide = orders.order_wide(shop.order_info(), shop.order_detail(), shop.user_info(), shop.base_province(), AS_OF)
         path = f"{run_folder(shop.spark, 'order_table')}/wide"
         table = sinks.DailyTable(shop.spark, path, schemas.like(wide, schemas.ORDER_WIDE), "detail_id", "create_date")
-        table.append(wide, version=1)
-        table.append(table.writes().where(F.col("detail_id") % 5 == 0), version=2)
+        # large writes, whose tasks hold enough rows of each day: another shuffle of all columns would only make fewer files
+        with large_sorts(shop.spark):
+            table.append(wide, version=1, rebalance=False)
+            table.append(table.writes().where(F.col("detail_id") % 5 == 0), version=2, rebalance=False)
         _ORDER_TABLES[key] = table
     return _ORDER_TABLES[key]
 
 
+def item_lines(shop: Shop, item: str, *fields: str, day: str | None = None) -> DataFrame:
+    """Lines of the stored order index whose product name holds every term of ``item``, with the columns that a query uses."""
+    columns = dict.fromkeys(["create_date", "sku_name", *fields])
+    return order_table(shop).read_where(text.match_all_terms(F.col("sku_name"), item), columns, day)
+
+
 def lists(shop: Shop) -> DataFrame:
     return changes.table_lists(shop.spark, FACTS, DIMS)
 
@@ -557,7 +565,7 @@ def dau_by_hour_filled(shop: Shop) -> DataFrame:
 
 @query
 def amount_by_field(shop: Shop) -> DataFrame:
-    rows = serving.amount_by_field(order_table(shop).read(), ITEM, "user_age")
+    rows = serving.amount_by_field(item_lines(shop, ITEM, "user_age", "split_total_amount"), ITEM, "user_age")
     return rows.select("create_date", "key", "n", money("amount"))
 
 
@@ -568,7 +576,7 @@ def top_terms(shop: Shop) -> DataFrame:
 
 @query
 def age_bucket_amount(shop: Shop) -> DataFrame:
-    amounts = serving.amount_by_field(order_table(shop).read(), "widget", "user_age")
+    amounts = serving.amount_by_field(item_lines(shop, "widget", "user_age", "split_total_amount"), "widget", "user_age")
     return serving.age_buckets(amounts).select("create_date", "name", money("value"))
 
 
@@ -643,7 +651,7 @@ def paginate_deep(shop: Shop) -> DataFrame:
 
 @query
 def detail_total(shop: Shop) -> DataFrame:
-    return serving.detail_total(order_table(shop).read(), ITEM)
+    return serving.detail_total(item_lines(shop, ITEM), ITEM)
 
 
 # ---- scalar functions ----------------------------------------------------------------------------
@@ -736,13 +744,13 @@ def dau_realtime_day(shop: Shop) -> DataFrame:
 
 @query
 def stats_by_item(shop: Shop) -> DataFrame:
-    rows = serving.stats_by_item(order_table(shop).read(), ITEM, "gender")
+    rows = serving.stats_by_item(item_lines(shop, ITEM, "user_gender", "split_total_amount"), ITEM, "gender")
     return rows.select("create_date", "name", money("value"))
 
 
 @query
 def stats_by_item_age(shop: Shop) -> DataFrame:
-    rows = serving.stats_by_item(order_table(shop).read(), ITEM, "age")
+    rows = serving.stats_by_item(item_lines(shop, ITEM, "user_age", "split_total_amount"), ITEM, "age")
     return rows.select("create_date", "name", money("value"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,30 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Small enough parts that a task can sort its rows in memory, however few shuffle partitions the session has: 128 MB of a
+# compressed file may be millions of rows. Adaptive execution joins what is small.
+LARGE_SORTS = {
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400",
+}
+
+
+@contextmanager
+def large_sorts(spark: SparkSession) -> Iterator[None]:
+    """Settings for writes that sort whole large tables; cached rows are not for it, as their parts are not joined."""
+    before = {name: spark.conf.get(name, None) for name in LARGE_SORTS}
+    for name, value in LARGE_SORTS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def local_session(cores: int | str = 8, app: str = "rillmart") -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     return apply_settings(

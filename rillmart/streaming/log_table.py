@@ -19,7 +19,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,15 +128,19 @@ class LogTable:
 
     # ---- writing ----
 
-    def append(self, df: DataFrame, version: int, source: str = "batch") -> None:
-        """One write. Rebalancing by part keeps files large, and splits a part that is large."""
+    def append(self, df: DataFrame, version: int, source: str = "batch", rebalance: bool = True) -> None:
+        """One write. Rebalancing by part keeps files large, and splits a part that is large.
+
+        Without ``rebalance`` the rows are not shuffled: each task writes a file for each part that it has rows of, which suits
+        tables so large that these files are.
+        """
         if self.in_order and version <= self._taken(source):
             return
         name = f"{version}-{source}-{uuid.uuid4().hex[:12]}"
         rows = df.select(*self.schema.fieldNames()).withColumns(
             {"_version": F.lit(version).cast("bigint"), "_source": F.lit(source), "_row": F.monotonically_increasing_id()}
         )
-        parts = self._put(rows, name)
+        parts = self._put(rows, name, rebalance)
         if parts:
             self._commit(name, version, source, parts)
             if self._since is None:
@@ -146,14 +150,16 @@ class LogTable:
             if self._since >= self.fold_every:
                 self.fold()
 
-    def _put(self, rows: DataFrame, name: str) -> list[str]:
+    def _put(self, rows: DataFrame, name: str, rebalance: bool = True) -> list[str]:
         """Write rows into folders of a new name; returns the parts they are in."""
         seen = Observation()
-        marked = rows.hint("rebalance", *[F.col(c) for c in self.parts]).withColumn("write", F.lit(name))
+        if rebalance:
+            rows = rows.hint("rebalance", *[F.col(c) for c in self.parts])
+        marked = rows.withColumn("write", F.lit(name))
         values = F.collect_set(F.to_json(F.array(*[F.col(c).cast("string") for c in self.parts])))
         marked = marked.observe(seen, values.alias("parts"))
         # a dynamic overwrite has a staging folder of its own, so that writers do not clear each other's
-        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
         writer.partitionBy(*self.parts, "write").parquet(f"{self.path}/data")
         return sorted(part_folder(self.parts, json.loads(v)) for v in seen.get["parts"])
 
@@ -219,3 +225,14 @@ class LogTable:
 
     def latest(self, rows: DataFrame) -> DataFrame:
         return keep_latest(rows, [*self.parts, *self.keys], self.order)
+
+    def latest_where(self, rows: DataFrame, condition: Column, columns: Sequence[str]) -> DataFrame:
+        """Some columns of the latest rows that fulfil a condition.
+
+        All rows are ranked, as a later row that does not fulfil it hides an earlier one that does; but of rows that do not, only
+        what the ranking needs is shuffled.
+        """
+        ranked = [*self.parts, *self.keys, *self.order]
+        found = F.when(condition, F.struct(*columns)).alias("_found")
+        latest = self.latest(rows.select(*dict.fromkeys(ranked), found))
+        return latest.where(F.col("_found").isNotNull()).select("_found.*")

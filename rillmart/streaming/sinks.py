@@ -86,8 +86,8 @@ class DailyTable:
         self.spark, self.path, self.schema, self.doc_id, self.day = spark, path, schema, doc_id, day
         self.log = LogTable(spark, path, schema, [day], [doc_id], fold_every=fold_every)
 
-    def append(self, df: DataFrame, version: int, source: str = "batch") -> None:
-        self.log.append(df, version, source)
+    def append(self, df: DataFrame, version: int, source: str = "batch", rebalance: bool = True) -> None:
+        self.log.append(df, version, source, rebalance)
 
     def stream(self, df: DataFrame, first_version: int = 0, source: str = "stream") -> DataStreamWriter:
         """Each micro-batch is one write, so a batch that is replayed replaces itself."""
@@ -108,6 +108,10 @@ class DailyTable:
         wanted = days if day is None else [day]
         return self.log.latest(self.writes(wanted)).select(*self.schema.fieldNames())
 
+    def read_where(self, condition: Column, columns: Iterable[str], day: str | None = None) -> DataFrame:
+        """Some columns of the rows of ``read`` that fulfil a condition; of other rows only keys and versions are shuffled."""
+        return self.log.latest_where(self.writes(None if day is None else [day]), condition, list(columns))
+
     def compact(self, target: str | None = None, day: str | None = None) -> DataFrame:
         """Compact in place, all days or one; or with a ``target`` write the kept rows there, replacing only the days written."""
         if target is None:

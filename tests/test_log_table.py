@@ -47,6 +47,30 @@ def test_a_day_lists_its_own_folders_only(spark):
     assert kept(table, days=["2024-01-03", "2024-01-01"]) == [("2024-01-01", "a", 3), ("2024-01-03", "a", 5)]
 
 
+def test_rows_that_fulfil_a_condition_shuffle_alone(spark):
+    table = daily(spark, "t_where")
+    table.append(rows(spark, ("a", 1, "2024-01-01"), ("a", 1, "2024-01-02"), ("b", 1, "2024-01-01"), (None, 1, None), ("c", None, "2024-01-01")), 0, rebalance=False)
+    table.append(rows(spark, ("a", 2, "2024-01-01"), ("b", None, "2024-01-02"), ("d", 1, "2024-01-01"), ("d", 1, "2024-01-01")), 1, rebalance=False)
+    ones = F.col("v") == 1
+    want = sorted(map(tuple, table.read().where(ones).select("mid", "v").collect()), key=str)
+    assert len(want) == 4 and ("b", 1) in want and (None, 1) in want  # a later row that is no hit hides the first of a
+    assert sorted(map(tuple, table.read_where(ones, ["mid", "v"]).collect()), key=str) == want
+    assert [tuple(r) for r in table.read_where(ones, ["mid"], "2024-01-02").collect()] == [("a",)]
+    found = table.read_where(F.col("v") == 1, ["v"])
+    below = plan_of(found).split("Exchange hashpartitioning")[1]
+    sent = re.search(r"Project \[(.*)\]", below)[1]
+    assert re.fullmatch(r"dt#\d+, mid#\d+, _version#\d+L, _source#\d+, _row#\d+L, CASE WHEN .* END AS _found#\d+", sent)
+
+
+def test_a_write_without_rebalance_has_no_shuffle(spark):
+    table = daily(spark, "t_plain")
+    days = spark.range(8000, numPartitions=4).select(F.col("id").cast("string").alias("mid"), F.col("id").alias("v"), F.lit("2024-01-01").alias("dt"))
+    table.append(days, 0, rebalance=False)
+    assert len(table.writes().inputFiles()) == 4 and table.read().count() == 8000
+    table.append(days, 1)
+    assert len(table.writes().inputFiles()) == 5
+
+
 def test_a_fold_leaves_live_readers_alone(spark):
     table = daily(spark, "t_fold", fold_every=4)
     for n in range(3):
