@@ -39,6 +39,7 @@ HEAD, TAIL = b"RMTP0001", b"RMTPEND1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 24  # a file is closed after the document that passes this many ids
 KEPT_PIECES = 300_000  # of a worker process; as many again from before the last start
+KEPT_COUNTS = 200_000  # the same where pieces are only counted, beside what a pipeline's other stages hold
 PIECE_SPACES = " \t\n\r"  # where texts are cut
 PARSE_CHARS = 1 << 20  # of text cut into pieces at once
 
@@ -63,55 +64,90 @@ class _Kept(dict):
         return found
 
 
+# What ``ByteLevel`` writes for each byte: printable Latin-1 stands for itself, the others are 256, 257, ... in order.
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+AS_BYTES = {byte: 256 + n for n, byte in enumerate(sorted({*range(256)} - {*_PLAIN}))}
+
+
 class _Cutter:
     """Encodes pieces by the steps of ``Tokenizer.encode``, without its offsets."""
 
     def __init__(self, tokenizer):
-        from tokenizers.pre_tokenizers import ByteLevel
-
         self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        steps = (json.loads(tokenizer.to_str()).get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        known = json.loads(tokenizer.to_str())
+        steps = (known.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.latin = steps[0].get("pattern") == {"Regex": CUT} and all(s[:1] == "<" for s in self.specials)
+        normal = [n.get("type") for n in (known.get("normalizer") or {}).get("normalizers") or []]
+        self.lowers = self.latin and normal == ["NFC", "Replace", "Lowercase"]
         self.pieces = _Kept(self._piece, KEPT_PIECES)
-        self.parts = _Kept(self._part, KEPT_PIECES // 3)  # of pieces of several parts
+        self.marks = _Kept(self._part, KEPT_PIECES // 30)  # parts that are no letters
+
+    @staticmethod
+    def of(ids: list[int]) -> bytes:
+        """What is kept of the ids of a piece."""
+        return array("I", ids).tobytes()
+
+    @staticmethod
+    def joined(parts) -> bytes:
+        return b"".join(parts)
 
     def _ids(self, cut) -> bytes:
-        return array("I", [t.id for part, _ in cut for t in self.model.tokenize(part)]).tobytes()
+        return self.of([t.id for part, _ in cut for t in self.model.tokenize(part)])
 
     def _part(self, part: str) -> bytes:
         # printable ASCII stands for itself
-        if part.isascii() and part.isprintable():
-            return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
-        return self._ids(self.as_bytes(part))
+        if not (part.isascii() and part.isprintable()):
+            part = part.encode().decode("latin-1").translate(AS_BYTES)
+        return self.of([t.id for t in self.model.tokenize(part)])
+
+    def _normal(self, piece: str) -> str:
+        if self.latin and piece.isascii():
+            return piece.lower()
+        # up to this letter nothing composes, and all but one letter have one letter as lower case
+        if self.lowers and max(piece) <= "ɏ" and "İ" not in piece:
+            return piece.lower()
+        return self.tokenizer.normalizer.normalize_str(piece)
 
     def _piece(self, piece: str) -> bytes:
         if not piece:
-            return b""
+            return self.of([])
         if "<" in piece and any(s in piece for s in self.specials):
-            return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-        ascii_only = self.latin and piece.isascii()
-        normal = piece.lower() if ascii_only else self.tokenizer.normalizer.normalize_str(piece)
-        if ascii_only or self.latin and max(normal, default="") <= "ɏ":
+            return self.of(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        normal = self._normal(piece)
+        if self.latin and max(normal, default="") <= "ɏ":
             if normal.isalpha():  # letters alone are one part
                 return self._part(normal)
-            return b"".join(map(self.parts.__getitem__, LATIN.findall(normal)))
+            # letters are likely to be a piece elsewhere
+            return self.joined([self.pieces[p] if p.isalpha() else self.marks[p] for p in LATIN.findall(normal)])
         return self._ids(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
 
+class _Counter(_Cutter):
+    """Keeps the number of ids of a piece in place of the ids, which takes no memory beside the piece's own."""
+
+    of, joined = staticmethod(len), staticmethod(sum)
+
+    def __init__(self, tokenizer):
+        super().__init__(tokenizer)
+        self.pieces.most = KEPT_COUNTS
+
+
 class PieceEncoder:
     """Ids of texts as little-endian 32-bit integers, by a ``tokenizers`` file whose vocabulary drops white space."""
 
+    cutter, joined = _Cutter, b"".join
+
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         # a worker that runs more tasks need not encode the same pieces again
-        self.known = held(f"pieces of {tokenizer_file}", lambda: _Cutter(Tokenizer.from_file(tokenizer_file))).pieces
+        owner = f"{self.cutter.__name__} of {tokenizer_file}"
+        self.known = held(owner, lambda: self.cutter(Tokenizer.from_file(tokenizer_file))).pieces
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # two more keys make the getter return a tuple for any text
-        return [b"".join(itemgetter("", "", *_pieces(text))(self.known)) for text in texts]
+        return [self.joined(itemgetter("", "", *_pieces(text))(self.known)) for text in texts]
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """As ``encode``, a bounded number of characters at a time; null is empty."""
@@ -121,7 +157,7 @@ class PieceEncoder:
             if len(text) > PARSE_CHARS:
                 yield from self.encode(waiting)
                 waiting, size = [], 0
-                yield b"".join(b for part in _slices(text) for b in self.encode([part]))
+                yield self.joined(b for part in _slices(text) for b in self.encode([part]))
                 continue
             waiting.append(text)
             size += len(text)
@@ -131,6 +167,12 @@ class PieceEncoder:
         yield from self.encode(waiting)
 
 
+class PieceCounter(PieceEncoder):
+    """Numbers of ids of texts, by the same steps as ``PieceEncoder``."""
+
+    cutter, joined = _Counter, staticmethod(sum)
+
+
 def _pieces(text: str) -> list[str]:
     """Split at ASCII white space only: whether other spaces count is for the tokenizer to say.
 

@@ -33,6 +33,40 @@ def test_pieces_give_the_ids_of_the_whole_text(monkeypatch):
     assert list(token_files.PieceEncoder(WORDS).encode_all([None])) == [b""]
 
 
+def test_a_word_is_encoded_once_whatever_marks_are_beside_it():
+    cutter, seen = token_files._Cutter(Tokenizer.from_file(WORDS)), []
+
+    class Model:
+        def tokenize(self, part, model=cutter.model):
+            seen.append(part)
+            return model.tokenize(part)
+
+    cutter.model = Model()
+    text = "wortig (wortig) wortig, Wortig. größig GRÖSSIG größig! Größig"
+    ids = b"".join(cutter.pieces[p] for p in token_files._pieces(text))
+    assert np.frombuffer(ids, dtype="<u4").tolist() == Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids
+    assert seen.count("wortig") == 1 and len(seen) == len({*seen}) + 1  # "Größig" differs from "größig" as a piece only
+
+
+def test_latin_letters_are_normalised_and_written_as_the_library_does():
+    tokenizer, cutter = Tokenizer.from_file(WORDS), token_files._Cutter(Tokenizer.from_file(WORDS))
+    letters = [chr(c) for c in range(0x21, 0x250)]
+    for piece in [*letters, *["a" + c + "b." for c in letters], "".join(letters)]:
+        want = tokenizer.encode(piece, add_special_tokens=False).ids
+        assert np.frombuffer(cutter.pieces[piece], dtype="<u4").tolist() == want, piece
+
+
+def test_counting_keeps_no_ids(monkeypatch):
+    monkeypatch.setattr(common, "_HELD", {})
+    samples = ODD + [t for _, t, _ in texts() if t]
+    counter = token_files.PieceCounter(WORDS)
+    want = [len(e.ids) for e in Tokenizer.from_file(WORDS).encode_batch(samples, add_special_tokens=False)]
+    assert list(counter.encode_all(samples)) == want and list(counter.encode_all([None, ""])) == [0, 0]
+    assert counter.known and all(type(n) is int for n in counter.known.values())
+    monkeypatch.setattr(token_files, "PARSE_CHARS", 100)
+    assert list(counter.encode_all(samples)) == want
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 @pytest.mark.parametrize("count", [1, 7, 8, 1000])
 def test_planes_and_back(kind, count):
