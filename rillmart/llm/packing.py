@@ -113,12 +113,12 @@ def pack_documents(
 
 def token_count(tokenizer_file: str, text: Column) -> Column:
     """Number of ids of a text, and one more for its end; null is empty."""
-    from rillmart.llm.token_files import PieceEncoder
+    from rillmart.llm.token_files import PieceCounter
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = PieceEncoder(tokenizer_file)
+        counter = PieceCounter(tokenizer_file)
         for texts in batches:
-            yield pd.Series([len(ids) // 4 + 1 for ids in encoder.encode_all(texts.tolist())], dtype="int64")
+            yield pd.Series([n + 1 for n in counter.encode_all(texts.tolist())], dtype="int64")
 
     return count(text)
