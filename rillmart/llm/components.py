@@ -18,23 +18,27 @@ def _star(around: DataFrame) -> DataFrame:
     return around.join(least, "a")
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each node that has a lesser one has no other, and is the lesser one of none."""
+    ends = F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("outer")), F.struct(F.col("b").alias("node"), F.lit(0).alias("outer")))
+    nodes = links.select(F.inline(ends)).groupBy("node").agg(F.sum("outer").alias("outer"), F.count("*").alias("links"))
+    return nodes.where("outer > 0 AND links > 1").agg(F.count("*")).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component: the least node each node of ``links`` (a, b) reaches.
 
     Links of a node with itself, repeated links and links with a null end add nothing. The number of rounds grows with the
-    logarithm of the number of nodes; each round is written, and the driver only compares two sums.
+    logarithm of the number of nodes, and is 0 where the links are stars around their least nodes, as pairs are; each round is
+    written, and the driver only sees whether stars are left.
     """
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links, before = written(links, "links"), None
-    while True:
+    links = written(links, "links")
+    while not _are_stars(links):
         large = _star(_both_ways(links)).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = large.where("a <> b")
         small = _star(large)
         small = small.select("b", "least").union(small.select("a", "least").distinct()).toDF("a", "b")
         links = written(small.where("a <> b").distinct(), "links")
-        mark = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if mark == before:
-            break
-        before = mark
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(links.select("b", "b").distinct())

@@ -327,6 +327,8 @@ def _grown(groups: DataFrame | None, links: DataFrame) -> DataFrame:
     """node, component with the links added: components of groups rather than of nodes, so that few links are left."""
     if groups is None:
         return written(components(links), "groups")
+    if links.isEmpty():
+        return groups
     joined = written(components(_apart(links, groups).select(F.col("ga").alias("a"), F.col("gb").alias("b"))), "joined_groups")
     moved = groups.join(joined.toDF("component", "to"), "component", "left")
     moved = moved.select("node", F.coalesce("to", "component").alias("component"))

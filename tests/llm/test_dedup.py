@@ -194,3 +194,20 @@ def test_components_of_a_path_and_a_star(spark):
     got = components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect()
     want = {n: 0 for n in range(41)} | {n: 100 for n in range(100, 140)}
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
+def test_links_that_are_stars_take_no_rounds(spark, monkeypatch):
+    from rillmart.llm import components as module
+
+    kept, found = module.written, []
+    monkeypatch.setattr(module, "written", lambda df, name: found.append(name) or kept(df, name))
+    of = lambda links: {(r.node, r.component) for r in components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect()}
+    assert of([]) == set() and of([(2, 1), (1, 2), (4, 3), (5, 3), (None, 7), (8, 8)]) == {(1, 1), (2, 1), (3, 3), (4, 3), (5, 3)}
+    assert len(found) == 2
+    assert of([(2, 1), (3, 2), (9, 7), (9, 8), (4, 3)]) == {(1, 1), (2, 1), (3, 1), (4, 1), (7, 7), (8, 7), (9, 7)}
+
+
+def test_no_new_links_leave_the_groups_as_they_are(spark, monkeypatch):
+    groups = spark.createDataFrame([(b"a", b"a"), (b"b", b"a")], "node BINARY, component BINARY")
+    monkeypatch.setattr(minhash_forest, "written", None)  # nothing is to be written
+    assert minhash_forest._grown(groups, spark.createDataFrame([], "a BINARY, b BINARY")) is groups
