@@ -156,6 +156,22 @@ def test_lines_that_never_find_a_header(spark):
     assert rows == {11: 1, 21: 2, 31: 3, 99: None}
 
 
+def test_the_routed_batch_is_kept_on_disk_in_small_blocks(spark):
+    feed, folder, seen = Feed(spark, "t_kept"), run_folder(spark, "t_kept"), []
+    kept = lambda: dict(spark.sparkContext._jsc.getPersistentRDDs())
+    before = set(kept())
+
+    class Store:
+        def append(self, rows, batch_id):
+            seen.extend(rdd.getStorageLevel().useMemory() for number, rdd in kept().items() if number not in before)
+            seen.append(rows.sparkSession.conf.get("spark.sql.inMemoryColumnarStorage.batchSize"))
+
+    jobs.save_table_lists(changes.table_lists(spark, ["order_info"], ["user_info"]), f"{folder}/lists")
+    feed.add({"type": "insert", "table": "order_info", "data": {"id": 1}}, {"type": "insert", "table": "user_info", "data": {"id": 1}})
+    run.run_to_end(spark, jobs.change_router(feed.stream(), f"{folder}/lists", f"{folder}/facts", Store()), f"{folder}/c")
+    assert seen == [False, "1000"]
+
+
 def test_change_router_reloads_lists_and_replays(spark):
     feed, folder = Feed(spark, "t_cdc"), run_folder(spark, "t_cdc")
     store = sinks.DimensionStore(spark, f"{folder}/dims")
