@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillmart import schemas
 from rillmart.operators import reports, serving
@@ -74,6 +75,21 @@ def test_a_replay_leaves_the_sums(spark):
     same_sums(table, sums)
 
 
+def test_a_write_shuffles_only_ids_groups_and_amounts(spark):
+    folder = run_folder(spark, "t_narrow")
+    schema = T.StructType([*LINES.fields, T.StructField("note", T.StringType())])
+    table = sinks.DailyTable(spark, f"{folder}/t", schema, "detail_id", "create_date")
+    sums = RolledTable(table, f"{folder}/sums", serving.ITEM_GROUPS, "split_total_amount")
+    lines = [(i % 7, "2024-01-01", "red ring", "MF"[i % 2], 20, float(i), "n" * 50) for i in range(20)]  # ids repeat in the write
+    sums.append(spark.createDataFrame(lines, schema), 0, "stream", False)
+    same_sums(table, sums)
+    assert table.writes().count() == 20  # as in any other write of the table, its reads keep the last
+    sums.append(spark.createDataFrame([(3, "2024-01-01", "red ring", "M", 20, 0.5, None)], schema), 1, "stream", False)
+    same_sums(table, sums)
+    assert "note" not in plan_of(sums._changes(table.writes(), table.writes()))
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 # ---- pages -----------------------------------------------------------------------------------------
 
 
