@@ -63,6 +63,22 @@ def test_a_header_that_comes_again_waits_anew(spark):
     assert sorted(r.detail_id for r in going(spark, headers, lines, folder).collect()) == [11, 21]
 
 
+def test_orders_of_one_bucket_share_a_state_row_and_wait_apart(spark):
+    headers, lines, folder = Feed(spark, "w_info"), Feed(spark, "w_detail"), run_folder(spark, "w_bucket")
+    headers.add(*[info(n, T) for n in range(100, 200)], hour=0)
+    lines.add(line(11, 1, T), line(21, 2, T), *[line(n + 1000, n, T) for n in range(100, 200)], hour=0)
+    headers.add(info(3, T), hour=20)
+    lines.add(line(22, 2, T), line(23, 2, T), hour=20)
+    headers.add(info(1, T), info(2, T), hour=30)  # the only line of order 1 came 30 hours before
+    lines.add(line(31, 3, T), hour=30)
+    topics = [from_rows(f.stream(), s, "timestamp") for f, s in ((headers, schemas.ORDER_INFO), (lines, schemas.ORDER_DETAIL))]
+    joined = waiting_join(*topics, "left_outer", buckets=2).select("detail_id", "order_id", "_header_id")
+    query = run.run_to_end(spark, joined.writeStream.format("parquet").option("path", f"{folder}/out"), f"{folder}/c", 3)
+    got = {r.detail_id: r._header_id for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert got == {11: None, 21: 2, 22: 2, 23: 2, 31: 3} | {n + 1000: n for n in range(100, 200)}
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 2
+
+
 def test_other_joins_are_refused(spark):
     with pytest.raises(ValueError):
         waiting_join(None, None, "full_outer")
