@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from rillmart.operators import logs, orders
+from rillmart.operators import dims, logs, orders
 from rillmart.plans.queries import REGISTRY
 from rillmart.session import run_folder
 from rillmart.sources import shop_views as views
@@ -122,3 +122,17 @@ def test_hot_device_and_hot_copies(spark):
     copies = lineitem.limit(1).crossJoin(spark.range(5000)).drop("id")
     wide = orders.order_wide(shop.order_info(), views.order_detail(lineitem.union(copies)), None, None)
     assert wide.count() == lineitem.count()
+
+
+def test_only_rows_with_rivals_are_ranked(spark, monkeypatch):
+    rows = [(1, "a", 1), (1, "a", 2), (1, "b", 1), (2, None, 1), (2, None, 3), (None, None, 1), (None, "a", 5), (3, "c", None), (3, "c", 0)]
+    path = f"{run_folder(spark, 't_few')}/rows"
+    spark.createDataFrame(rows, "id INT, name STRING, v INT").write.parquet(path)
+    stored = spark.read.parquet(path)
+    want = sorted(map(str, dims.keep_latest(stored, ["id", "name"], ["v"]).collect()))
+    for most in (100_000, 1):
+        monkeypatch.setattr(dims, "FEW_REPEATED", most)
+        assert sorted(map(str, dims.keep_latest_of_few(stored, ["id", "name"], ["v"]).collect())) == want
+    few = dims.keep_latest_of_few(stored.where("v = 1"), ["id", "name"], ["v"])
+    assert not nodes(few, "Exchange") and not nodes(few, "Sort") and few.count() == 4
+    assert few.columns == stored.columns

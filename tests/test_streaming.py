@@ -358,3 +358,19 @@ def test_an_hour_is_one_batch_however_many_tasks_wrote_it(spark, hours):
     run.run_to_end(spark, stream.writeStream.foreachBatch(write), run_folder(spark, "hours"))
     assert [len(times) for times in seen] == [1] * len(hours)
     assert sum(times[0][2] for times in seen) == 900
+
+
+def test_an_arriving_topic_is_written_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "run_folder", lambda spark, name: str(tmp_path))
+    rows = spark.range(900).withColumn("name", F.lit("ring"))
+    stream = queries._arriving(Shop(spark, ""), "once", rows, F.when(F.col("id") < 100, 7).otherwise(F.col("id") % 2), (0, 20))
+    assert sum(spark.read.parquet(str(f)).count() for f in tmp_path.rglob("part-*")) == 800  # hour 7 is none
+    times = [{int(f.stat().st_mtime) for f in (tmp_path / f"topic/_file={n}").glob("part-*")} for n in range(2)]
+    assert [len(t) for t in times] == [1, 1] and max(times[0]) < min(times[1])
+    assert stream.columns == ["id", "name", "timestamp"]
+
+
+def test_state_is_compressed_by_zstandard(spark):
+    with run.state_settings(spark):
+        for name in ("rocksdb.compression", "compression.codec"):
+            assert spark.conf.get(f"spark.sql.streaming.stateStore.{name}") == "zstd"
