@@ -374,3 +374,16 @@ def test_state_is_compressed_by_zstandard(spark):
     with run.state_settings(spark):
         for name in ("rocksdb.compression", "compression.codec"):
             assert spark.conf.get(f"spark.sql.streaming.stateStore.{name}") == "zstd"
+
+
+def test_a_read_of_few_repeated_ids_shuffles_no_other_rows(spark):
+    schema = schemas.struct(mid="string", v="bigint", dt="string")
+    table = sinks.DailyTable(spark, f"{run_folder(spark, 't_few')}/t", schema, "mid")
+    make = lambda *rows: spark.createDataFrame(list(rows), schema)
+    table.append(make(("a", 1, "2024-01-01"), ("b", 1, "2024-01-01"), (None, 1, None)), 1)
+    plan = table.read(few=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and table.read(few=True).count() == 3
+    table.append(make(("a", 2, "2024-01-01"), ("a", 3, "2024-01-02"), (None, 4, None)), 2)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(table.read(few=True)) == rows(table.read()) and table.read(few=True).count() == 4
+    assert rows(table.read("2024-01-01", few=True)) == rows(table.read("2024-01-01"))
